@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import decontam, sharding, wavelet
+from faultline.llm import decontam, sharding, warc, wavelet
 from faultline.llm.shared import table
 
 
@@ -32,6 +32,11 @@ def op7_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2)
 
 
+def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(table(spark, sf_dir, "pages")).where("kind = 'record'")
+    return read.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -105,3 +110,10 @@ walk as (
 select doc_id, size, text_crc32, 'rows' as law, cast(x % 16 as integer) as shard, x // 16 as slot, cast(null as integer) as grown_shard
 from walk where pass > 0 and x < n
 """
+
+SQL["op8_warc_salvage"] = """
+with page as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+first as (select payload_digest, max(page_id) as id from page where payload_bytes >= 1000 group by all)
+select page_id, payload_bytes, payload_digest, if(again, 'revisit', 'response') as record_type, if(again, id, null) as refers_to
+from (select *, coalesce(payload_bytes >= 1000 and page_id <> id, false) as again from page left join first using (payload_digest))
+"""
