@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import decontam, minhash, pii, sharding, warc, wavelet
+from faultline.llm import decontam, minhash, pii, sharding, toxicity, warc, wavelet
 from faultline.llm.shared import table
 
 
@@ -45,6 +45,14 @@ def op5_minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op1_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = toxicity.may_learn(F.col("doc_id"))
+    model = toxicity.fit(documents, labels.where(learn))
+    scored = toxicity.score(documents.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(~learn, F.lit(False)).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.7).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
