@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import decontam, minhash, pii, sharding, toxicity, warc, wavelet
+from faultline.llm import decontam, minhash, pieces, pii, sharding, toxicity, warc, wavelet
 from faultline.llm.shared import table
 
 
@@ -53,8 +53,20 @@ def op1_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(~learn, F.lit(False)).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), seed=7, ids=False)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return {name: f for name, f in globals().items() if (name.startswith("op") or name == "pipeline") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
