@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import decontam, minhash, pieces, pii, sharding, toxicity, warc, wavelet
+from faultline.llm import decontam, minhash, pieces, pii, quotes, sharding, toxicity, warc, wavelet
 from faultline.llm.shared import table
 
 
@@ -53,6 +53,10 @@ def op1_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(~learn, F.lit(False)).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link(table(spark, sf_dir, "conversations"))
+
+
 def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

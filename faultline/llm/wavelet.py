@@ -34,7 +34,7 @@ MAGIC = b"FLWM1\n"
 #: Tokens after which a shard is closed.
 SHARD_TOKENS = 3_000_000
 #: Pieces that an encoder keeps.
-CACHE = 500_000
+CACHE = 800_000
 #: New pieces that are encoded as one text.
 JOINED = 2000
 
@@ -123,7 +123,12 @@ class Encoder:
         row = np.searchsorted(off, start, side="right") - 1
         count = np.bincount(row, weights=size, minlength=n).astype(np.int64)
         total = int(size.sum())
-        ids = self.pool[np.repeat(self.begin[code] - (np.cumsum(size) - size), size) + np.arange(total)]
+        step = np.ones(total, dtype=np.int64)  # places in the pool, as a running sum
+        first = np.cumsum(size) - size
+        begin = self.begin[code]
+        full = size > 0
+        step[first[full]] = np.diff(begin[full], prepend=0) - np.concatenate([[0], size[full][:-1] - 1])[: full.sum()]
+        ids = self.pool[np.cumsum(step)]
         if end is None:
             return ids, count
         out = np.empty(total + n, dtype=np.uint32)
@@ -135,6 +140,17 @@ class Encoder:
         return out, count + 1
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker process's encoder: tasks that follow one another share its pieces."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def pack(ids: np.ndarray, keys: np.ndarray, counts: np.ndarray, valid: np.ndarray) -> bytes:
     """A shard's file: ``keys`` (``valid``: not null) and token counts of its documents, and all ids."""
     bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
@@ -264,7 +280,7 @@ def write(documents: DataFrame, tokenizer: str, path: str, end: int = 2, key: st
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, number, encoder = TaskContext.get().partitionId(), 0, None
+        task, number = TaskContext.get().partitionId(), 0
         ids, counts, keys, valid = [], [], [], []
 
         def close() -> pa.RecordBatch:
@@ -279,8 +295,7 @@ def write(documents: DataFrame, tokenizer: str, path: str, end: int = 2, key: st
 
         held = 0
         for batch in slices(batches, "__text", 1 << 23):
-            encoder = encoder or Encoder(tokenizer)
-            got, count = encoder.encode(batch.column("__text"), end)
+            got, count = encoder(tokenizer).encode(batch.column("__text"), end)
             k = batch.column("__key")
             ids.append(got)
             counts.append(count)
