@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import decontam, minhash, pieces, pii, quotes, sharding, toxicity, warc, wavelet
+from faultline.llm import chroma, decontam, minhash, pieces, pii, quotes, sharding, toxicity, warc, wavelet
 from faultline.llm.shared import table
 
 
@@ -53,6 +53,12 @@ def op1_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(~learn, F.lit(False)).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op6_chroma_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector is the score of a recording (a tone for each number); queries: every id divisible by 100."""
+    found = chroma.align(table(spark, sf_dir, "embeddings"), F.col("key") % 100 == 0, "vec_id", "embedding", chroma.tune)
+    return found.select(F.col("key").alias("vec_id"), "length", "is_query", F.size("matches").cast("long").alias("n_matches"), F.col("matches.query").alias("queries"), F.col("matches.offset").alias("offsets"), F.col("matches.ber").alias("bit_errors"))
+
+
 def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link(table(spark, sf_dir, "conversations"))
 
