@@ -40,7 +40,12 @@ def haversine_term(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Co
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(haversine_term(lat1, lon1, lat2, lon2), F.lit(1.0))))
+    return term_km(haversine_term(lat1, lon1, lat2, lon2))
+
+
+def term_km(term: Column) -> Column:
+    """Distance of a haversine term; NULL stays NULL (``least`` alone would skip it)."""
+    return F.when(term.isNotNull(), F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(term, F.lit(1.0)))))
 
 
 def hypocentral_km(epicentral: Column, depth: Column) -> Column:

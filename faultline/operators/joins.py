@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.functions.scalar import EARTH_RADIUS_KM, haversine_term
+from faultline.functions.scalar import haversine_term, term_km
 
 #: Rows of the smaller side that are broadcast at once; a larger side is taken in blocks of this size.
 BROADCAST_ROWS = 50_000
@@ -66,7 +66,7 @@ def nearest(points: DataFrame, places: DataFrame, key: str, flags: dict[str, Col
         found = found.groupBy("__lat", "__lon").agg(*(F.min(name).alias(name) for name in flags))
     out = []
     for name in flags:
-        out += [F.col(f"{name}.k").alias(name), (F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.col(f"{name}.d"), F.lit(1.0))))).alias(f"{name}_distance_km")]
+        out += [F.col(f"{name}.k").alias(name), term_km(F.col(f"{name}.d")).alias(f"{name}_distance_km")]
     found = found.select("__lat", "__lon", *out)
     return points.join(found, points[lat].eqNullSafe(found["__lat"]) & points[lon].eqNullSafe(found["__lon"]), "left").drop("__lat", "__lon")
 
@@ -122,7 +122,7 @@ def collapse_duplicates(rows: DataFrame, original: str, order: str, event: str =
 def best_candidate(hits: DataFrame, target: str, event: str, target_magnitude: str, magnitude: str, order: str) -> DataFrame:
     """Of the search hits of each target, the one of the least magnitude difference (a missing magnitude differs by 0)."""
     diff = F.coalesce(F.abs(F.col(magnitude) - F.col(target_magnitude)), F.lit(0.0))
-    return hits.groupBy(target).agg(F.min_by(event, F.struct(diff, F.col(order))).alias(event))
+    return hits.groupBy(target).agg(F.min_by(event, F.struct(diff, F.col(order), F.col(event))).alias(event))
 
 
 def earliest_picks(picks: DataFrame, keys: list[str], time: str, value: str) -> DataFrame:

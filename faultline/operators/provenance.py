@@ -41,7 +41,8 @@ def diff_lineage(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def lineage_counts(id_map: DataFrame, stations: DataFrame) -> DataFrame:
     a = id_map.groupBy("source").agg(F.count(F.lit(1)).alias("value")).select("source", F.lit("reports").alias("metric"), "value")
-    b = stations.agg(F.count(F.lit(1)).alias("rows"), F.count("vs30_ms").alias("vs30")).select(F.explode(F.array(F.struct(F.lit("stations").alias("source"), F.lit("rows").alias("metric"), F.col("rows").alias("value")), F.struct(F.lit("stations"), F.lit("with_vs30"), F.col("vs30")))).alias("r")).select("r.*")
+    counts = stations.agg(F.count(F.lit(1)).alias("rows"), F.count("vs30_ms").alias("with_vs30"))
+    b = counts.unpivot([], ["rows", "with_vs30"], "metric", "value").select(F.lit("stations").alias("source"), "metric", "value")
     return a.unionByName(b)
 
 

@@ -95,7 +95,7 @@ def round6(x: str, places: int = 6) -> str:
 
 
 def km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    return f"(12742e0 * asin(sqrt(least(pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2), 1e0))))"
+    return f"(case when {lat1} + {lon1} + {lat2} + {lon2} is not null then 12742e0 * asin(sqrt(least(pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2), 1e0))) end)"
 
 
 SCALE = "case lower(coalesce(mag_type, '')) when 'mw' then 'moment_magnitude' when 'mww' then 'moment_magnitude' when 'mwc' then 'moment_magnitude' when 'mwr' then 'moment_magnitude' when 'mwb' then 'moment_magnitude' when 'md' then 'duration_magnitude' when 'ml' then 'local_magnitude' when 'mb' then 'body_wave_magnitude' when 'mblg' then 'body_wave_magnitude' when 'ms' then 'surface_wave_magnitude' else 'diger' end"

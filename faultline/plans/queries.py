@@ -136,10 +136,10 @@ def window_groups(spark, d):
 
 
 @query(f"""with {B.CATALOG}, {_GROUPS.format(gap=210000000)}, other as (select a.event_id, max(b.magnitude) as m from catalog a join catalog b on b.t_us between a.t_us - 130000000 and a.t_us + 200000000 and a.event_id <> b.event_id group by all)
-select c.event_id, window_group, {round6("m")} as other_event_magnitude, coalesce(m >= magnitude, false) as label_ambiguous from catalog c join grp using (event_id) left join other o on o.event_id = c.event_id""")
+select c.event_id, window_group, {round6("m")} as window_other_max_magnitude, coalesce(m >= magnitude, false) as label_ambiguous from catalog c join grp using (event_id) left join other o on o.event_id = c.event_id""")
 def window_context(spark, d):
     c = catalog(spark, d)
-    return windows.window_context(c.select("event_id", "magnitude"), c).select("event_id", "window_group", r6("other_event_magnitude"), "label_ambiguous")
+    return windows.window_context(c.select("event_id", "magnitude"), c).select("event_id", "window_group", r6("window_other_max_magnitude"), "label_ambiguous")
 
 
 @query(f"""with {B.CATALOG} select a.event_id, {round6("max(b.magnitude)")} as window_max from catalog a join catalog b on b.t_us between a.t_us - 130000000 and a.t_us + 200000000 group by all""")
@@ -155,7 +155,7 @@ def forward_fill(spark, d):
 
 
 # --- entity resolution ---
-_PAIR = f"""select a.event_id as a, b.event_id as b, a.source as sa, b.source as sb, (b.t_us - a.t_us) / 1e6 as dt, abs(a.magnitude - b.magnitude) as dm,
+_PAIR = f"""select a.event_id as a, b.event_id as b, a.source as sa, b.source as sb, b.t_us / 1e6 - a.t_us / 1e6 as dt, abs(a.magnitude - b.magnitude) as dm,
 least(greatest(50e0 + 10e0 * greatest(a.magnitude, b.magnitude), 50e0), 150e0) as thr, {km("a.latitude", "a.longitude", "b.latitude", "b.longitude")} as km
 from catalog a join catalog b on b.t_us between a.t_us and a.t_us + {{most}} and (a.t_us, a.source, a.source_event_id) < (b.t_us, b.source, b.source_event_id)"""
 _SCORE = "4e-1 * (1 - dt / 30) + 4e-1 * (1 - km / thr) + 2e-1 * (1 - dm / 15e-1)"
@@ -204,7 +204,7 @@ def clustered(spark, d):
 @query(f"""with {_CLUSTERED}, worst as (select a.cluster_id, max(abs(a.t_us - b.t_us)) / 1e6 as dt, max({km("a.latitude", "a.longitude", "b.latitude", "b.longitude")}) as km, max(abs(a.magnitude - b.magnitude)) as dm, max(greatest(a.magnitude, b.magnitude)) as top
 from clustered a join clustered b on a.cluster_id = b.cluster_id and a.event_id < b.event_id group by all)
 select cluster_id, n as cluster_size, coalesce({round6("dt", 2)}, 0) as cluster_max_time_diff_sec, coalesce({round6("km", 2)}, 0) as cluster_max_distance_km, coalesce({round6("dm", 2)}, 0) as cluster_max_magnitude_diff,
-coalesce({round6("greatest(4e-1 * (1 - least(dt / 30, 1)) + 4e-1 * (1 - least(km / least(greatest(50 + 10 * top, 50), 150), 1)) + 2e-1 * (1 - least(dm / 15e-1, 1)), 0)", 3)}, 1) as dedup_confidence
+case when n > 1 then {round6("greatest(4e-1 * (1 - least(dt / 30, 1)) + 4e-1 * (1 - least(km / least(greatest(50 + 10 * top, 50), 150), 1)) + 2e-1 * (1 - least(dm / 15e-1, 1)), 0)", 3)} else 1 end as dedup_confidence
 from (select cluster_id, count(*) as n from clustered group by all) left join worst using (cluster_id)""")
 def cluster_quality(spark, d):
     return dedup.quality(clustered(spark, d))
@@ -248,7 +248,7 @@ def collapse_duplicates(spark, d):
     return joins.collapse_duplicates(mapped, "original", "file").select("event_id", "station", "file")
 
 
-@query("""select l_orderkey, first(l_partkey order by abs(l_quantity - 25), l_linenumber) as event from lineitem group by all""")
+@query("""select l_orderkey, first(l_partkey order by abs(l_quantity - 25), l_linenumber, l_partkey) as event from lineitem group by all""")
 def best_candidate(spark, d):
     x = table(spark, d, "lineitem").withColumn("wanted", F.lit(25.0))
     return joins.best_candidate(x, "l_orderkey", "l_partkey", "wanted", "l_quantity", "l_linenumber").withColumnRenamed("l_partkey", "event")
@@ -307,7 +307,7 @@ def time_split(spark, d):
     return table(spark, d, "events").select("event_id", splits.time_split(F.col("ts").cast("timestamp"), "2024-01-15").alias("split"))
 
 
-@query(f"""with {_FACTS}, {_GROUPS.format(gap=210000000)}, other as (select a.event_id, max(b.magnitude) as m from catalog a join catalog b on b.t_us between a.t_us - 130000000 and a.t_us + 200000000 and a.event_id <> b.event_id group by all)
+@query(f"""with {_FACTS}, {_GROUPS.format(gap=210000000).replace('from catalog', 'from (select * from catalog where event_id in (select event_id from facts))')}, other as (select a.event_id, max(b.magnitude) as m from catalog a join catalog b on b.t_us between a.t_us - 130000000 and a.t_us + 200000000 and a.event_id <> b.event_id group by all)
 select f.event_id, file, {round6("pga_g")} as pga_g, hypocentral_distance_km, {_SPLIT.format(f=_FRACTION.format(k='window_group'))} as split from facts f join grp using (event_id) left join other o on o.event_id = f.event_id
 where usable_for_engineering and not coalesce(m >= magnitude, false) and hypocentral_distance_km is not null and pga_g is not null""")
 def ground_motion_task(spark, d):
@@ -456,11 +456,10 @@ def _dataset(spark, d):
     return e.withColumns({"has_waveform": F.lit(True), "num_waveform_files": F.col("depth_km").cast("long"), "magnitude_agreement_std": F.lit(0.1), "reported_by": F.col("source")})
 
 
-_CHECK = "select '{n}' as \"check\", {v} = 0 as passed, {v} as detail {f}"
 
 
 def _checks(parts: list[tuple[str, str, str]]) -> str:
-    return " union all ".join(f"""select '{n}' as "check", v = 0 as passed, v as detail from (select {v} as v {f})""" for n, v, f in parts)
+    return " union all ".join(f"""select '{n}' as "check", v = 0 as passed, v::bigint as detail from (select {v} as v {f})""" for n, v, f in parts)
 
 
 _SIZE = " union all ".join(f"""select '{n}_not_empty' as "check", count(*) > 0 as passed, count(*) as detail from {t}""" for n, t in (("events", "catalog"), ("stations", "stations"), ("features", "features")))
@@ -494,7 +493,7 @@ def checks_features(spark, d):
 
 
 @query(f"""with {B.CATALOG}, {_GROUPS.format(gap=210000000)}, s as (select event_id, window_group, {_SPLIT.format(f=_FRACTION.format(k='event_id'))} as split from grp),
-b as (select window_group, count(distinct split) as n from s group by all) select 'leakage_event_split' as "check", count_if(n > 1) = 0 as passed, count_if(n > 1) as detail from b""")
+b as (select window_group, count(distinct split) as n from s group by all) select 'leakage_event_split' as "check", count_if(n > 1) = 0 as passed, count_if(n > 1)::bigint as detail from b""")
 def checks_leakage(spark, d):
     g = windows.sessionize(catalog(spark, d).select("event_id", "t_sec"), "event_id", "t_sec")
     return quality.leakage(g, g.select(F.lit("event_split").alias("task"), splits.hash_split(F.col("event_id")).alias("split"), "event_id"))
@@ -508,7 +507,7 @@ def checks_holdouts(spark, d):
     return quality.station_holdout(by_station).unionByName(quality.time_holdout(by_time, "2024-01-15"))
 
 
-@query(f"""with {B.LOG}, {B.FEATURES} select 'log_matches_files' as "check", a = b as passed, abs(a - b) as detail from (select count_if(status = 'ok') as a from fetch_log), (select count(*) as b from features)""")
+@query(f"""with {B.LOG}, {B.FEATURES} select 'log_matches_files' as "check", a = b as passed, abs(a - b)::bigint as detail from (select count_if(status = 'ok') as a from fetch_log), (select count(*) as b from features)""")
 def checks_fetch_log(spark, d):
     ok = fetch_log(spark, d).agg(F.count_if(F.col("status") == "ok").alias("n"))
     return quality.count_matches(ok, features(spark, d).agg(F.count(F.lit(1)).alias("n")), "log_matches_files")
@@ -550,7 +549,7 @@ def resume_anti_join(spark, d):
     return table(spark, d, "orders").select("o_orderkey").join(done, "o_orderkey", "left_anti")
 
 
-@query("""select event_type, count(*) as n, row_number() over (order by count(*) desc, event_type) as rank from events group by all""")
+@query("""select *, row_number() over (order by n desc, event_type) as rank from (select event_type, count(*) as n from events group by all)""")
 def value_counts(spark, d):
     c = table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
     return c.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "event_type")))
@@ -559,3 +558,36 @@ def value_counts(spark, d):
 @query("""select l_orderkey, l_linenumber, l_extendedprice from lineitem order by l_extendedprice desc, l_orderkey, l_linenumber limit 10""")
 def largest_records(spark, d):
     return table(spark, d, "lineitem").orderBy(F.desc("l_extendedprice"), "l_orderkey", "l_linenumber").limit(10).select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+# --- scans with coercion, streaming twins run on a batch ---
+@query(f"""with {B.CATALOG}, {_GROUPS.format(gap=210000000)} select window_group, count(*) as n from grp group by all""")
+def session_window_groups(spark, d):
+    from faultline.streaming import streams
+
+    return streams.session_groups(catalog(spark, d)).select("window_group", "n")
+
+
+@query("""select o_orderkey, case when try_cast(replace(o_orderpriority, '-', '') as double) is null then null end as coerced, case when o_totalprice between 1000 and 100000 then o_totalprice end as price from orders""")
+def strict_coercion(spark, d):
+    from faultline.sources import tables
+
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("coerced"), F.col("o_totalprice").alias("price"))
+    return tables.strict(o, {"coerced": "double", "price": "double"}, {"price": (1000.0, 100000.0)})
+
+
+@query("""select 'train' as split, cast(l_orderkey as varchar) as k, cast(null as varchar) as note from lineitem where l_orderkey % 2 = 0 union all select 'test', cast(l_orderkey as varchar), l_returnflag from lineitem where l_orderkey % 2 = 1""")
+def aligned_splits(spark, d):
+    from faultline.sources import tables
+
+    x = table(spark, d, "lineitem")
+    train = x.where("l_orderkey % 2 = 0").select(F.col("l_orderkey").cast("string").alias("k"), F.lit(None).cast("double").alias("note"))
+    test = x.where("l_orderkey % 2 = 1").select(F.col("l_orderkey").cast("string").alias("k"), F.col("l_returnflag").alias("note"))
+    out = tables.aligned({"train": train, "test": test})
+    return quality.union_all([df.withColumn("split", F.lit(n)) for n, df in out.items()])
+
+
+@query("""select s_suppkey as k, s_acctbal as vs30_ms, case when s_acctbal > 0 then case when s_acctbal > 1500 then 'A' when s_acctbal > 760 then 'B' when s_acctbal > 360 then 'C' when s_acctbal > 180 then 'D' else 'E' end end as nehrp_site_class from supplier""")
+def site_enrichment(spark, d):
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_acctbal").alias("vs30_ms"))
+    return s.withColumn("nehrp_site_class", S.site_class(F.col("vs30_ms")))
