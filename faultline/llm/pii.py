@@ -152,12 +152,12 @@ def find(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 def redact(documents: DataFrame, text: str = "text") -> DataFrame:
     """``documents`` with every span replaced by its kind in angle brackets; spans that overlap are one, of the first's kind."""
-    columns = documents.columns
-    found = all_spans(documents, text, keep_text=True)
+    rest = F.struct(F.lit(True).alias("__"), *(F.col(f"`{c}`") for c in documents.columns if c != text)).alias("all")
+    found = all_spans(documents.select(rest, F.col(text).cast("string").alias("text")), "text", keep_text=True)
     spans = "array_sort(concat(__base, __more), (a, b) -> case when a.s <> b.s then a.s - b.s else b.e - a.e end)"
-    made = f"""if(size(__base) + size(__more) = 0, `{text}`, aggregate({spans},
+    made = f"""if(size(__base) + size(__more) = 0, text, aggregate({spans},
         named_struct('at', 0, 'out', ''),
         (a, x) -> named_struct('at', greatest(a.at, x.e),
-            'out', if(x.s < a.at, a.out, concat(a.out, substr(`{text}`, a.at + 1, x.s - a.at), '<', upper(x.kind), '>'))),
-        a -> concat(a.out, substr(`{text}`, a.at + 1))))"""
-    return found.withColumn(text, F.expr(made)).select(*columns)
+            'out', if(x.s < a.at, a.out, concat(a.out, substr(text, a.at + 1, x.s - a.at), '<', upper(x.kind), '>'))),
+        a -> concat(a.out, substr(text, a.at + 1))))"""
+    return found.select(*(F.expr(made).alias(c) if c == text else F.col("all")[c].alias(c) for c in documents.columns))

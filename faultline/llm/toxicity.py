@@ -135,7 +135,8 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         return nothing
     ids = [known.where(F.col("y") == y).distinct().orderBy(F.xxhash64("__k"), "__k").limit(most_rows) for y in (0, 1)]
     picked = spark.createDataFrame([tuple(r) for i in ids for r in i.collect()], known.schema)  # at most 2 * most_rows
-    sample = written(documents.join(F.broadcast(picked), documents[key] == picked["__k"]).select("y", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")), "labelled")
+    texts = documents.select(F.col(key).alias("__k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    sample = written(texts.join(F.broadcast(picked), "__k").select("y", "text"), "labelled")
 
     def of_toxic(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

@@ -35,7 +35,7 @@ FILE_BYTES = 12 << 20
 SALT = 16
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC = b"\x1f\x8b\x08"
-_VERSION = re.compile(rb"(?:^|(?<=\n))WARC/1\.[01]\r\n")
+_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 
 
