@@ -208,7 +208,7 @@ def verified(pairs: DataFrame, rows: DataFrame, idf: object, least: float) -> Da
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """Per node of ``edges`` (a, b): node and the least node of its component, by alternating star contraction."""
+    """Node and the least node of its component, for every node of ``edges`` (a, b) that is not the least itself, by alternating star contraction."""
     edges = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     mark = None
     for _ in range(rounds):
