@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 from faultline.operators.windows import RECORD, RECORD_AFTER, RECORD_BEFORE
 
 
-def session_groups(events: DataFrame, key: str = "event_id", time: str = "time_utc", gap: float = RECORD, late: str = "10 minutes") -> DataFrame:
-    """Sessions (touching ones are one): start, end, window_group (first id), n. Works on batches, too."""
+def session_groups(events: DataFrame, key: str = "event_id", time: str = "time_utc", gap: float = RECORD, late: str = "10 minutes", by: tuple[str, ...] = ()) -> DataFrame:
+    """Sessions (touching ones are one): ``by``, start, end, window_group (first id), n. Works on batches, too.
+
+    Streams keep sessions by key; without ``by`` (a region, say) all events are of one key, which one task holds.
+    """
     w = F.session_window(time, f"{gap:g} seconds")
-    out = events.withWatermark(time, late).groupBy(w.alias("w")).agg(F.min(F.struct(time, key)).alias("first"), F.count(F.lit(1)).alias("n"))
-    return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), F.col(f"first.{key}").alias("window_group"), "n")
+    keys = [F.col(c) for c in by] or [F.col(time).isNull().alias("__one")]
+    out = events.withWatermark(time, late).groupBy(*keys, w.alias("w")).agg(F.min(F.struct(time, key)).alias("first"), F.count(F.lit(1)).alias("n"))
+    return out.select(*by, F.col("w.start").alias("start"), F.col("w.end").alias("end"), F.col(f"first.{key}").alias("window_group"), "n")
 
 
 def first_of_each(events: DataFrame, keys: list[str], time: str = "time_utc", late: str = "10 minutes") -> DataFrame:
