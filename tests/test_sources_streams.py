@@ -73,7 +73,7 @@ def run(stream, spark, name):
 
 def test_stream_equals_batch(spark, tmp_path):
     times = [0, 100, 250, 1000, 1209, 5000, 90000]
-    rows = spark.createDataFrame([(f"e{i}", float(t)) for i, t in enumerate(times)], "event_id string, t_sec double").withColumn("time_utc", F.timestamp_micros((F.col("t_sec") * 1e6).cast("long")))
+    rows = spark.createDataFrame([(f"e{i}", 1.6e9 + t) for i, t in enumerate(times)], "event_id string, t_sec double").withColumn("time_utc", F.timestamp_micros((F.col("t_sec") * 1e6).cast("long")))
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 10).parquet(str(tmp_path / "in"))
     got = {r.window_group: r.n for r in run(streams.session_groups(stream), spark, "sessions").collect()}
