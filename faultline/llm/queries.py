@@ -155,3 +155,29 @@ first as (select payload_digest, max(page_id) as id from page where payload_byte
 select page_id, payload_bytes, payload_digest, if(again, 'revisit', 'response') as record_type, if(again, id, null) as refers_to
 from (select *, coalesce(payload_bytes >= 1000 and page_id <> id, false) as again from page left join first using (payload_digest))
 """
+
+SQL["op4_quotation_linking"] = r"""
+with recursive msg as (
+  select row_number() over () as id, conv_id as c, turn as t, role, string_split(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(10)) as ls from conversations),
+line as (select id, c, t, i, ls[i] as l, regexp_extract(ls[i], '^[ \t]{0,3}>[> \t]*') as marks from msg, unnest(range(1, len(ls) + 1)) as u(i)),
+level as (select id, c, t, i, l, length(regexp_replace(marks, '[^>]', '', 'g')) as level, substr(l, length(marks) + 1) as body from line),
+near as (select *, lag(level) over w as before, lead(level) over w as after from level window w as (partition by id order by i)),
+part as (select *, sum(cast(level is distinct from before as int)) over (partition by id order by i) as p from near),
+norm as (select id, c, t, p, level, i, trim(regexp_replace(lower(body), '[^\p{L}\p{N}]+', ' ', 'g')) as n from part),
+whole as (select id, c, t, p, level, trim(regexp_replace(string_agg(n, ' ' order by i), ' +', ' ', 'g')) as h from norm group by all),
+h as (select id, c, t, p, level, 0 as kind, h from whole where h <> '' union all select distinct id, c, t, p, level, 1, n from norm where n <> ''),
+inside as (select c, h, min(t) as it from h where level = 0 group by all),
+overall as (select h, min((c, t)) as o from h where level = 0 group by all),
+found as (select q.id, q.p, q.level, q.kind, case when it < q.t then (q.c, it) when o is not null and o[1] <> q.c then o end as dest
+  from h q left join inside i on i.c = q.c and i.h = q.h left join overall a on a.h = q.h where q.level > 0),
+best as (select id, p, level, min((kind, dest)) filter (dest is not null) as b from found group by all),
+per as (select id, count(*) as n_quotes, max(level) as max_level, count(b) as n_linked, min((level, p, b[2])) filter (b is not null) as x from best group by id),
+parent as (select m.id, c, t, role, coalesce(n_quotes, 0) as n_quotes, coalesce(max_level, 0) as max_level, coalesce(n_linked, 0) as n_linked, x[3][1] as parent_conv, x[3][2] as parent_turn from msg m left join per using (id)),
+up as (select c, t, min(parent_turn) as up from parent where parent_conv = c group by all),
+climb as (select c, t, up from up union all select k.c, k.t, u.up from climb k join up u on u.c = k.c and u.t = k.up),
+root as (select c, t, min(up) as root from climb group by all),
+clean as (select id, trim(coalesce(string_agg(l, chr(10) order by i) filter (level = 0 and not (coalesce(after, 0) > 0 and regexp_matches(l, '^.{0,200}(?:wrote|writes|schrieb|a écrit|escribió) ?:\s*$'))), ''), chr(10)) as clean from near group by id)
+select p.c as conv_id, p.t as turn, role, clean, n_quotes, max_level, n_linked, parent_conv, parent_turn, coalesce(root, p.t) as root_turn,
+  row_number() over (partition by p.c order by coalesce(root, p.t), p.t, p.id) - 1 as position
+from parent p left join root r on r.c = p.c and r.t = p.t left join clean using (id)
+"""

@@ -39,3 +39,15 @@ def test_empty_table_and_clashing_columns(spark):
     one = spark.createDataFrame([(1, 0, "user", ">" * 50 + " x\n" + "y\n" * 3000, "a", "b", 3)], "conv_id long, turn long, role string, text string, c string, t string, position int")
     row = quotes.link(one).first()
     assert (row.max_level, row.position, row.n_linked) == (50, 0, 0)
+
+
+def test_sql_says_the_same():
+    import duckdb
+
+    from faultline.llm.queries import SQL
+
+    con = duckdb.connect()
+    con.execute("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
+    con.executemany("insert into conversations values (?, ?, ?, ?)", ROWS)
+    got = {(r[0], r[1]): (r[4], r[6], r[7], r[8], r[9], r[10], r[3]) for r in con.execute(SQL["op4_quotation_linking"]).fetchall()}
+    assert got == brute(ROWS)
