@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.shared import written
+from faultline.llm.shared import tidy, written
 
 FRAME, HOP, SPAN = 1024, 256, 12
 KEY_BITS = 16
@@ -144,7 +144,7 @@ def fingerprints(media: DataFrame, key: str, audio: str, decode: Callable[[objec
                     prints.append(fingerprint(*found).astype(np.int64) if found else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(prints, pa.list_(pa.int64()))], names=["key", "print"])
 
-    return media.select(F.col(key).cast("long").alias("key"), F.col(audio).alias("audio")).mapInArrow(apply, "key long, print array<long>")
+    return media.select(F.col(key).cast("long").alias("key"), F.col(audio).alias("audio")).mapInArrow(tidy(apply), "key long, print array<long>")
 
 
 class Index:
@@ -228,7 +228,7 @@ def search(prints: DataFrame, is_query: Column) -> DataFrame:
                     kind = pa.list_(pa.struct([("query", pa.int64()), ("offset", pa.int32()), ("votes", pa.int32()), ("ber", pa.float64())]))
                     yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(size), part.column("is_query"), pa.array([sorted(x, key=lambda m: m["query"]) for x in found], kind)], names=["key", "length", "is_query", "matches"])
 
-        return prints.withColumn("is_query", F.coalesce(is_query, F.lit(False))).mapInArrow(apply, f"key long, length long, is_query boolean, matches {MATCH}")
+        return prints.withColumn("is_query", F.coalesce(is_query, F.lit(False))).mapInArrow(tidy(apply), f"key long, length long, is_query boolean, matches {MATCH}")
 
     block: list[tuple[int, list[int]]] = []
     parts: list[DataFrame] = []

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from faultline.llm.shared import slices
+from faultline.llm.shared import slices, tidy
 from faultline.llm.textvec import TO_WORDS, Words, mix64
 
 _U64 = np.uint64
@@ -152,5 +152,5 @@ def find(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
 
     read = documents.select(*columns, documents[text].cast("string").alias("__text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[:-1])
-    return read.mapInArrow(scan, f"{kept}, {SCHEMA}")
+    return read.mapInArrow(tidy(scan), f"{kept}, {SCHEMA}")
 

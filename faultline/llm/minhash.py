@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.shared import cut, slices, written
+from faultline.llm.shared import cut, slices, tidy, written
 from faultline.llm.textvec import Words, mix64
 
 _U64 = np.uint64
@@ -162,7 +162,7 @@ def _counts(rows: DataFrame) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int32()), "n": pa.array(seen[at])})
 
-    total = rows.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    total = rows.select("text").mapInArrow(tidy(count), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     got = total.toArrow()  # at most BUCKETS rows
     counts = np.zeros(BUCKETS)
     counts[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
@@ -185,7 +185,7 @@ def _signatures(rows: DataFrame, idf: object) -> DataFrame:
             h1, h2 = content(w, texts)
             yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(h1), pa.array(h2), lists], names=["__id", "h1", "h2", "bands"])
 
-    return rows.select("__id", "text").mapInArrow(sign, "__id long, h1 long, h2 long, bands array<long>")
+    return rows.select("__id", "text").mapInArrow(tidy(sign), "__id long, h1 long, h2 long, bands array<long>")
 
 
 def verified(pairs: DataFrame, rows: DataFrame, idf: object, least: float) -> DataFrame:
@@ -204,7 +204,7 @@ def verified(pairs: DataFrame, rows: DataFrame, idf: object, least: float) -> Da
                 ok = pa.array(similarity(part.column("ta"), part.column("tb"), idf.value) >= least)
                 yield pa.RecordBatch.from_arrays([part.column("a").filter(ok), part.column("b").filter(ok)], names=["a", "b"])
 
-    return cut(both.mapInArrow(verify, "a long, b long"))
+    return cut(both.mapInArrow(tidy(verify), "a long, b long"))
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:

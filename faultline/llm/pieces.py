@@ -26,12 +26,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.shared import slices
+from faultline.llm.shared import slices, tidy
 from faultline.llm.textvec import _powers, buffers, mix64
 
 _U64 = np.uint64
 #: Distinct parts that a sampler keeps.
-CACHE = 200_000
+CACHE = 120_000
+#: Parts of one forward pass.
+PASS = 12_000
 #: Log-probability of a character as bytes.
 BYTE_SCORE = -20.0
 
@@ -177,7 +179,8 @@ class Sampler:
         new = [p for p in parts if p not in self.known]
         if new:
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            self._forward(new)
+            for i in range(0, len(new), PASS):
+                self._forward(new[i : i + PASS])
         return np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
 
     def encode(self, texts: pa.Array, keys: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -238,10 +241,11 @@ _SAMPLERS: dict[tuple[str, float], Sampler] = {}
 
 
 def sampler(path: str, theta: float) -> Sampler:
-    """The worker process's sampler."""
+    """The worker process's sampler, with no parts yet."""
     if (path, theta) not in _SAMPLERS:
         _SAMPLERS.clear()
         _SAMPLERS[path, theta] = Sampler(path, theta)
+    _SAMPLERS[path, theta]._clear()
     return _SAMPLERS[path, theta]
 
 
@@ -251,7 +255,7 @@ def encode(documents: DataFrame, model: str, key: str = "doc_id", text: str = "t
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = sampler(model, theta)
-        for batch in slices(batches, "__text", 1 << 22):
+        for batch in slices(batches, "__text", 1 << 20):
             texts = batch.column("__text")
             got, count = s.encode(texts, batch.column("__key").fill_null(0).to_numpy(zero_copy_only=False), seed)
             back, ends = s.decode(got, count)
@@ -265,9 +269,10 @@ def encode(documents: DataFrame, model: str, key: str = "doc_id", text: str = "t
             crc = [zlib.crc32(raw[4 * (e - c) : 4 * e]) for e, c in zip(last.tolist(), count.tolist(), strict=True)]
             lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], last]), pa.int32()), pa.array(got.astype(np.int32)))] if ids else []
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *lists, pa.array(count), pa.array(crc, pa.int64()), pa.array(same)], names=[*keep, *["ids"] * ids, "n_pieces", "ids_crc32", "lossless"])
+        s._clear()
 
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in read.schema.fields[: len(keep)])
-    return read.mapInArrow(apply, f"{kept}{'ids array<int>, ' * ids}n_pieces long, ids_crc32 long, lossless boolean")
+    return read.mapInArrow(tidy(apply), f"{kept}{'ids array<int>, ' * ids}n_pieces long, ids_crc32 long, lossless boolean")
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -285,4 +290,4 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids", keep: tuple[str, ..
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(texts, pa.string())], names=[*keep, "text"])
 
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in read.schema.fields[: len(keep)])
-    return read.mapInArrow(apply, f"{kept}text string")
+    return read.mapInArrow(tidy(apply), f"{kept}text string")

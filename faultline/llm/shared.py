@@ -49,7 +49,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``most`` bytes of text (a longer text is a slice of its own)."""
     import numpy as np
 
@@ -64,3 +64,27 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 21)
             end = min(batch.num_rows, max(end, start + 1))
             yield batch.slice(start, end - start)
             start = end
+
+
+def tidy(run):
+    """``run`` over a task's batches, after which the worker gives freed memory back: workers are kept for later tasks."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
+def release() -> None:
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library has no such call
+        pass

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.shared import slices, written
+from faultline.llm.shared import slices, tidy, written
 from faultline.llm.textvec import Words, mix64
 
 _U64 = np.uint64
@@ -147,7 +147,7 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
             value, n = np.unique(h[new], return_counts=True)
             yield pa.RecordBatch.from_pydict({"h": pa.array(value.view(np.int64)), "n": pa.array(n.astype(np.int64))})
 
-    told = sample.where("y = 1").select("text").mapInArrow(of_toxic, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TEXTS)
+    told = sample.where("y = 1").select("text").mapInArrow(tidy(of_toxic), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TEXTS)
     candidates = np.sort(told.select("h").toArrow().column("h").to_numpy().view(_U64))  # bounded by the sample
     sent, swap_groups = spark.sparkContext.broadcast(candidates), groups
 
@@ -162,7 +162,7 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
                 [batch.column("y"), pa.array(lists(texts), pa.list_(pa.int32())), pa.array([s if o is not None else None for s, o in zip(swapped, other, strict=True)], pa.list_(pa.int32()))], names=["y", "f", "g"]
             )
 
-    rows = sample.mapInArrow(of_all, "y int, f array<int>, g array<int>").toArrow()  # at most the sample
+    rows = sample.mapInArrow(tidy(of_all), "y int, f array<int>, g array<int>").toArrow()  # at most the sample
     y = rows.column("y").to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
         return nothing
@@ -203,4 +203,4 @@ def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(columns))), scores], names=[*columns, "__score"])
 
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    return rows.mapInArrow(apply, f"{schema}, __score double")
+    return rows.mapInArrow(tidy(apply), f"{schema}, __score double")

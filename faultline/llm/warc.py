@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm.shared import fresh_dir
+from faultline.llm.shared import fresh_dir, tidy
 from faultline.llm.wavelet import put
 
 #: Compressed bytes after which a file is closed.
@@ -215,7 +215,7 @@ def write(records: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") ->
 
     system, at = fs.FileSystem.from_uri(path)
     system.create_dir(at)
-    return records.mapInArrow(pack, "file string, records long, bytes long")
+    return records.mapInArrow(tidy(pack), "file string, records long, bytes long")
 
 
 SCHEMA = "file string, kind string, offset long, length long, reason string, key long, record_type string, refers_to long, uri string, payload_bytes long, payload_digest string, payload binary"
@@ -257,7 +257,7 @@ def read(spark: SparkSession, path: str, glob: str = "*.warc*", payloads: bool =
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema=schema)
 
-    return files.mapInArrow(scan, SCHEMA)
+    return files.mapInArrow(tidy(scan), SCHEMA)
 
 
 def round_trip(pages: DataFrame, key: str = "page_id", uri: str = "url", html: str = "html") -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm.shared import fresh_dir, slices
+from faultline.llm.shared import fresh_dir, slices, tidy
 from faultline.llm.textvec import buffers
 
 MAGIC = b"FLWM1\n"
@@ -308,7 +308,7 @@ def write(documents: DataFrame, tokenizer: str, path: str, end: int = 2, key: st
         if counts:
             yield close()
 
-    return rows.select("__key", "__text").mapInArrow(encode, "part int, number int, documents long, tokens long")
+    return rows.select("__key", "__text").mapInArrow(tidy(encode), "part int, number int, documents long, tokens long")
 
 
 def read(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
@@ -328,7 +328,7 @@ def read(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
                     names=[key, "part", "number", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return files.mapInArrow(decode, f"`{key}` long, part int, number int, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(tidy(decode), f"`{key}` long, part int, number int, start long, n_tokens long, ids_crc32 long")
 
 
 def round_trip(documents: DataFrame, tokenizer: str, end: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
