@@ -14,9 +14,11 @@ weighted Jaccard similarity. ``BANDS`` bands of ``ROWS`` samples make bucket key
 Candidates. Texts with equal words are one node. In a bucket every member is paired with up to three
 centres (least, largest, and least-hashed id), and a bucket of at most ``SMALL`` members gives all
 its pairs: rows grow in proportion to members. Pairs are verified by the exact weighted similarity of
-whole texts. Members of a large bucket that are still apart after components are joined are compared
-again, with the heads of the bucket's second and third component as centres. Components come from
-star contraction over tables in the shared folder.
+whole texts. Members of large buckets that are still apart after components are joined meet new centres
+for a few rounds. Then all pairs of such members that are in different components and can be similar
+are verified: they share a shingle of the rare end of both (prefix filter) and their total weights are
+close enough, which leaves no similar pair out. Components come from star contraction over tables in
+the shared folder.
 
 Nulls are empty texts. Texts without words are near copies of nothing; equal ones are one class.
 Repeated rows are copies; a null key never names a class unless all its members have none; an empty
@@ -44,6 +46,10 @@ SMALL = 12
 _BITS = 13
 #: Rows of a centre that one verification task gets.
 SPREAD = 400
+#: Ids outside a key's largest component that one task compares with all ids of the key.
+DEAL = 64
+#: Most rounds of new centres.
+TURNS = 3
 
 
 def _gamma(seed: int) -> np.ndarray:
@@ -239,6 +245,55 @@ def _candidates(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _pairs(stars.unionByName(pairs)), members.where(F.col("n") > SMALL).select("key", "id")
 
 
+def _prefixes(texts: DataFrame, idf: object, least: float) -> DataFrame:
+    """Per text (__id, text): the shingles of its rare end, with its total weight.
+
+    In the order of falling idf these are the shingles before which there is at most 1 - ``least`` of
+    the text's weight: two texts that share none of them share less than ``least`` of either.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = idf.value
+        for batch in slices(batches, "text"):
+            row, s, tf = shingles(batch.column("text"))
+            order = np.lexsort((s, -table[bucket(s)], row))
+            s, weight = s[order], weights(s, tf, table)[order].astype(np.float64)
+            total = np.bincount(row, weight, batch.num_rows)
+            before = np.cumsum(weight) - weight - (np.cumsum(total) - total)[row]
+            at = np.flatnonzero(before <= (1 - least + 1e-4) * total[row])
+            yield pa.RecordBatch.from_arrays([batch.column("__id").take(pa.array(row[at])), pa.array(s[at].astype(np.int64)), pa.array(total[row[at]])], names=["id", "key", "total"])
+
+    return texts.select("__id", "text").mapInArrow(tidy(run), "id long, key long, total double")
+
+
+def _placed(large: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``large`` with the component of each id, and the largest component of each key that has several."""
+    members = cut(large.join(found, large["id"] == found["node"], "left").select(*large.columns, F.coalesce("component", "id").alias("component")))
+    groups = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
+    main = groups.agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.ceil((F.sum("n") - F.max("n")) / DEAL).cast("int").alias("deal")).where("deal > 0")
+    return members, main
+
+
+def _again(members: DataFrame, main: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a large bucket's members outside its largest component with new centres: one of that component, one outside, and the one of most company."""
+    m = members.join(main, "key")
+    nth, inside = F.struct(F.xxhash64("id", F.lit(turn)), "id"), F.col("component") == F.col("main")
+    centres = m.groupBy("key").agg(F.min(F.when(inside, nth))["id"].alias("c1"), F.min(F.when(~inside, nth))["id"].alias("c2"), F.max(F.struct("company", "id"))["id"].alias("c3"))
+    return _pairs(m.where(~inside).join(centres, "key").select("id", F.explode(F.array_distinct(F.array("c1", "c2", "c3"))).alias("c")).where("id <> c"))
+
+
+def _apart(members: DataFrame, main: DataFrame, least: float) -> DataFrame:
+    """All pairs of ids of one key that are in different components and may be similar by their total weights.
+
+    Ids outside a key's largest component are dealt over tasks, and each deal meets all ids of the key.
+    """
+    m = members.join(main, "key")
+    x = m.where("component <> main").select("key", F.pmod(F.xxhash64("id"), F.col("deal")).cast("int").alias("salt"), "id", "component", "total")
+    y = m.select("key", F.explode(F.sequence(F.lit(0), F.col("deal") - 1)).alias("salt"), F.col("id").alias("c"), F.col("component").alias("of"), F.col("total").alias("size"), (F.col("component") == F.col("main")).alias("inside"))
+    bound = F.least("total", "size") >= F.greatest("total", "size") * (least - 1e-4)
+    return _pairs(x.join(y, ["key", "salt"]).where((F.col("component") != F.col("of")) & (F.col("inside") | (F.col("id") < F.col("c"))) & bound))
+
+
 def _pairs(links: DataFrame) -> DataFrame:
     """The smaller id, often a centre, is a."""
     return links.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
@@ -258,16 +313,24 @@ def classes(documents: DataFrame, key: str = "doc_id", text: str = "text", least
     links = verified(pairs, rows, idf, least)
     found = cut(components(links))
     if not large.isEmpty():
-        apart = large.join(found, large["id"] == found["node"], "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        heads = apart.groupBy("key", "component").agg(F.min("id").alias("id"))
-        centres = heads.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("m1")).where("n > 2")
-        rest = heads.join(centres, "key").where("component > m1")
-        second = rest.groupBy("key").agg(F.min(F.struct("component", "id"))["id"].alias("c"), F.max(F.struct("component", "id"))["id"].alias("c2"))
-        again = rest.select("key", "id").join(second, "key").select("id", F.explode(F.array("c", "c2")).alias("c")).where("id <> c")
-        more = verified(_pairs(again), rows, idf, least)
-        if not more.isEmpty():
-            links = links.unionByName(more)
+        large = cut(large.join(large.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key"))
+        large = cut(large.join(large.groupBy("id").agg(F.sum("n").alias("company")), "id").select("key", "id", "company"))
+        members, main = _placed(large, found)
+        for turn in range(TURNS):  # these only leave less to the comparison of all that are apart
+            again = cut(_again(members, main, turn).join(pairs, ["a", "b"], "left_anti"))
+            more = verified(again, rows, idf, least)
+            pairs = pairs.unionByName(again)
+            if more.isEmpty():
+                break
+            links = cut(links.unionByName(more))
             found = cut(components(links))
+            members, main = _placed(large, found)
+        ids = members.join(main, "key", "left_semi").select(F.col("id").alias("__id")).distinct()
+        members, main = _placed(_prefixes(rows.join(ids, "__id"), idf, least), found)
+        rest = cut(_apart(members, main, least).join(pairs, ["a", "b"], "left_anti"))
+        more = verified(rest, rows, idf, least)
+        if not more.isEmpty():
+            found = cut(components(links.unionByName(more)))
     node = nodes.join(found, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component"))
     # a text copied often is a frequent (h1, h2): rows are narrow, and the salt spreads them
     salt = 16

@@ -74,6 +74,26 @@ def test_classes_equal_brute_force(spark, monkeypatch):
     assert all(r.class_size == sizes[r.class_id] and r.first == (r.doc_id == r.class_id) for r in rows.values())
 
 
+def test_independent_copies_meet_their_original(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "IDF_SCALE", 0.0)
+    rng = random.Random(11)
+    texts = []
+    for g in range(3):  # copies are similar to the original and, mostly, not to each other
+        original = [f"g{g}w{rng.randrange(3000)}" for _ in range(400)]
+        group = []
+        for _ in range(60):
+            w = list(original)
+            for at in rng.sample(range(400), 8):
+                w[at] = f"new{rng.randrange(10**9)}"
+            group.append(" ".join(w))
+        group.insert(20 + g, " ".join(original))
+        texts += group
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    rows = {r.doc_id: r.class_id for r in minhash.classes(df).collect()}
+    want = brute_classes(texts, 1.0)
+    assert [rows[i] for i in range(len(texts))] == want and len(set(want)) < 20
+
+
 def test_no_rows_and_null_keys(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (7, "A b, c d e f")], "doc_id long, text string")
     assert minhash.classes(df.limit(0)).count() == 0
