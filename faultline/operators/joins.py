@@ -72,12 +72,19 @@ def nearest(points: DataFrame, places: DataFrame, key: str, flags: dict[str, Col
 
 
 def k_nearest(points: DataFrame, places: DataFrame, key: str, place: str, distance: Column, k: int, most_km: float, condition: Column) -> DataFrame:
-    """Up to ``k`` places for each point within ``most_km``, nearest first; names of the two sides must differ."""
-    if places.count() > BROADCAST_ROWS:
-        raise ValueError("take the places in blocks, or grid them first")
-    pairs = points.join(F.broadcast(places), condition).withColumn("distance_km", distance).where(F.col("distance_km") <= most_km)
+    """Up to ``k`` places for each point within ``most_km``, nearest first; names of the two sides must differ.
+
+    More than ``BROADCAST_ROWS`` places are taken in blocks; the best ``k`` of each block are ranked again.
+    """
     rank = F.row_number().over(Window.partitionBy(key).orderBy("distance_km", place))
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
+    n = -(-places.count() // BROADCAST_ROWS)
+    blocks = [places] if n <= 1 else [places.where(F.pmod(F.xxhash64(place), F.lit(n)) == i) for i in range(n)]
+    found = None
+    for block in blocks:
+        pairs = points.join(F.broadcast(block), condition).withColumn("distance_km", distance).where(F.col("distance_km") <= most_km)
+        best = pairs.withColumn("rank", rank).where(F.col("rank") <= k)
+        found = best if found is None else found.unionByName(best)
+    return found if n <= 1 else found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def until_successes(attempts: DataFrame, key: str, order: list[str], ok: Column, target: int) -> DataFrame:
