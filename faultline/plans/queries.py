@@ -96,6 +96,17 @@ def k_nearest_stations(spark, d):
     return joins.k_nearest(e, s, "event_id", "station", distance, 12, 400.0, F.col("has_strong_motion")).select("event_id", "station", "distance_km", "rank")
 
 
+@query(f"""with {B.CATALOG}, {B.STATIONS}, e as (select * from catalog where magnitude >= 45e-1),
+pair as (select event_id, station, {round6(km("e.latitude", "e.longitude", "s.latitude", "s.longitude"))} as distance_km from e, stations s where s.has_strong_motion)
+select * from (select event_id, station, distance_km, row_number() over (partition by event_id order by distance_km, station) as rank from pair where distance_km <= 400) where rank <= 12""")
+def k_nearest_stations_m45(spark, d):
+    """As k_nearest_stations, from the reference's least magnitude on."""
+    e = catalog(spark, d).where("magnitude >= 4.5").select("event_id", "latitude", "longitude")
+    s = stations(spark, d).select("station", F.col("latitude").alias("slat"), F.col("longitude").alias("slon"), "has_strong_motion")
+    distance = S.np_round(S.haversine_km(F.col("latitude"), F.col("longitude"), F.col("slat"), F.col("slon")), 6)
+    return joins.k_nearest(e, s, "event_id", "station", distance, 12, 400.0, F.col("has_strong_motion")).select("event_id", "station", "distance_km", "rank")
+
+
 @query(f"""with {B.LOG} select event_id, n, status from (select *, sum(cast(status = 'ok' as int)) over (partition by event_id order by distance_km, n rows unbounded preceding) - cast(status = 'ok' as int) as before from fetch_log) where before < 4""")
 def until_four_successes(spark, d):
     return joins.until_successes(fetch_log(spark, d), "event_id", ["distance_km", "n"], F.col("status") == "ok", 4).select("event_id", "n", "status")

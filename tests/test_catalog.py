@@ -123,3 +123,24 @@ def test_k_nearest_in_blocks(spark, monkeypatch):
         want += [(str(i), s, d, n + 1) for n, (d, s) in enumerate(x for x in near if x[0] <= 3.0) if n < 4]
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 6)
     assert run() == sorted(want)
+
+
+def test_k_nearest_from_the_reference_magnitude(spark):
+    import math
+
+    from faultline.plans import bindings
+    from faultline.plans.queries import QUERIES
+
+    d = "/root/testdata/sf0.001"
+    events = bindings.catalog(spark, d).where("magnitude >= 4.5").collect()
+    stations = bindings.stations(spark, d).where("has_strong_motion").collect()
+    got = {(r.event_id, r["rank"]): r.distance_km for r in QUERIES["k_nearest_stations_m45"](spark, d).collect()}
+    want = {}
+    for e in events:
+        distances = []
+        for s in stations:
+            a, b = math.radians(e.latitude), math.radians(s.latitude)
+            h = math.sin((b - a) / 2) ** 2 + math.cos(a) * math.cos(b) * math.sin(math.radians(s.longitude - e.longitude) / 2) ** 2
+            distances.append(2 * 6371 * math.asin(math.sqrt(h)))
+        want |= {(e.event_id, n + 1): x for n, x in enumerate(sorted(x for x in distances if x <= 400)[:12])}
+    assert len(events) == 40 and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 0.5 for k in want)
