@@ -29,7 +29,7 @@ def op3_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return wavelet.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    return wavelet.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=2, added=True)
 
 
 def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:

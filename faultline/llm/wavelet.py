@@ -2,7 +2,9 @@
 
 Encoding. A byte-level tokenizer never joins what stands before a space to what follows it when
 the space's next character is not white space, so texts are cut there and every distinct piece is
-encoded once for a slice (and kept in a bounded cache); ids of a text are the ids of its pieces.
+encoded once for a slice (and kept in a bounded cache); ids of a text are the ids of its pieces. A
+text that holds an added token (such as the end of text) literally is encoded whole instead, where
+``added`` asks for such tokens.
 
 File. ``FLWM1`` and a length, a JSON header (count, bits, documents, sizes of the parts), then the
 parts, each compressed with zlib: ids of the documents, their first tokens, and one bit-plane for
@@ -24,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,14 +55,16 @@ _MARK &= ~_ALNUM
 class Encoder:
     """Ids of whole texts, by a tokenizer of the tokenizers library."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
+        """``added``: a literal added token in a text is that token, as the tokenizer has it; else it is plain text."""
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self.bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)  # of each id; the alphabet has a character for each byte
         for token, i in self.tokenizer.get_vocab().items():
             self.bytes[i] = len(token)
@@ -105,8 +110,31 @@ class Encoder:
         size = np.concatenate([np.diff(last + 1, prepend=0), [len(x) for x in got[len(texts) :]]]).astype(np.int64)
         return led + rest, np.concatenate([joined, *got[len(texts) :]]), size
 
+    def _holding(self, texts: pa.Array) -> pa.Array:
+        """The rows whose texts hold an added token."""
+        found = pa.array(np.zeros(len(texts), bool))
+        raw = buffers(texts)[0].tobytes()
+        for token in self.added:
+            if token.encode() in raw:
+                found = pc.or_(found, pc.fill_null(pc.match_substring(texts, token), False))
+        return found
+
     def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has; ``end`` follows each."""
+        held = self._holding(texts)
+        rows = np.flatnonzero(held.to_numpy(zero_copy_only=False))
+        if not len(rows):
+            return self._encode(texts, end)
+        ids, count = self._encode(pc.if_else(held, pa.scalar("", texts.type), texts), end)
+        parts = np.split(ids, np.cumsum(count)[:-1])
+        tail = [] if end is None else [end]
+        for i, e in zip(rows.tolist(), self.tokenizer.encode_batch_fast(texts.filter(held).to_pylist(), add_special_tokens=False), strict=True):
+            parts[i] = np.array([*e.ids, *tail], np.uint32)
+            count[i] = len(parts[i])
+        return np.concatenate(parts), count
+
+    def _encode(self, texts: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without added tokens, by pieces."""
         data, off = buffers(texts)
         n = len(off) - 1
         cut = np.zeros(len(data) + 1, dtype=bool)
@@ -140,15 +168,15 @@ class Encoder:
         return out, count + 1
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: bool = False) -> Encoder:
     """The worker process's encoder: tasks that follow one another share its pieces."""
-    if path not in _ENCODERS:
+    if (path, added) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[path, added] = Encoder(path, added)
+    return _ENCODERS[path, added]
 
 
 def pack(ids: np.ndarray, keys: np.ndarray, counts: np.ndarray, valid: np.ndarray) -> bytes:
@@ -265,7 +293,7 @@ def put(path: str, content: bytes) -> None:
     system.move(f"{at}.{os.getpid()}.part", at)
 
 
-def write(documents: DataFrame, tokenizer: str, path: str, end: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+def write(documents: DataFrame, tokenizer: str, path: str, end: int = 2, key: str = "doc_id", text: str = "text", added: bool = False) -> DataFrame:
     """Encode and write shards below ``path``; returns shard (partition and number), documents and tokens of each."""
     from pyarrow import fs
 
@@ -295,7 +323,7 @@ def write(documents: DataFrame, tokenizer: str, path: str, end: int = 2, key: st
 
         held = 0
         for batch in slices(batches, "__text", 1 << 23):
-            got, count = encoder(tokenizer).encode(batch.column("__text"), end)
+            got, count = encoder(tokenizer, added).encode(batch.column("__text"), end)
             k = batch.column("__key")
             ids.append(got)
             counts.append(count)
@@ -331,11 +359,11 @@ def read(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
     return files.mapInArrow(tidy(decode), f"`{key}` long, part int, number int, start long, n_tokens long, ids_crc32 long")
 
 
-def round_trip(documents: DataFrame, tokenizer: str, end: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip(documents: DataFrame, tokenizer: str, end: int = 2, key: str = "doc_id", text: str = "text", added: bool = False) -> DataFrame:
     """Write all documents, then read each back: key, start over all shards, n_tokens, ids_crc32."""
     spark = documents.sparkSession
     path = fresh_dir(spark, "tokens")
-    written = sorted(tuple(r) for r in write(documents, tokenizer, path, end, key, text).collect())  # a row a shard, not a document
+    written = sorted(tuple(r) for r in write(documents, tokenizer, path, end, key, text, added).collect())  # a row a shard, not a document
     schema = f"`{key}` long, start long, n_tokens long, ids_crc32 long"
     if not written:
         return spark.createDataFrame([], schema)

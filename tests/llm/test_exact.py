@@ -98,6 +98,21 @@ def test_tokens(docs, empty):
     assert wavelet.round_trip(empty, path).count() == 0
 
 
+def test_tokens_of_added_token_literals(spark, tmp_path):
+    from faultline.llm.queries import op7_wavelet_tokens
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    texts = ["plain text", "one doc<|endoftext|>next", "<|endoftext|>", "a <|endoftext|><|endoftext|> b <|endoftext", "", "|> last one <|endof", "text|>", "é <|endoftext|>\n x"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    start = 0
+    for r in sorted(op7_wavelet_tokens(spark, str(tmp_path)).collect(), key=lambda r: r.doc_id):
+        ids = np.array([*t.encode(texts[r.doc_id], add_special_tokens=False).ids, 2], "<u4")
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert t.encode(texts[1], add_special_tokens=False).ids == [505, 2205, 50256, 19545]
+
+
 def test_wavelet_matrix():
     ids = np.random.default_rng(0).integers(0, 300, 5000).astype(np.uint32)
     s = wavelet.Shard(wavelet.pack(ids, np.arange(2), np.array([2000, 3000]), np.array([True, False])))
