@@ -441,7 +441,7 @@ def bootstrap_intervals(spark, d):
 @query()
 def random_forest(spark, d):
     f = with_model(spark, d).select("event_id", "magnitude", "r", "vs30_ms", F.log10("pga_g").alias("y")).withColumn("split", splits.hash_split(F.col("event_id")))
-    out, _ = stats.random_forest(f.where("split = 'train'"), f.where("split <> 'train'"), ["magnitude", "r", "vs30_ms"], "y", trees=20)
+    out, _ = stats.random_forest(f.where("split = 'train'"), f.where("split <> 'train'"), ["magnitude", "r", "vs30_ms"], "y")
     return stats.regression_scores(out, F.col("y"), F.col("prediction"))
 
 

@@ -144,3 +144,15 @@ def test_k_nearest_from_the_reference_magnitude(spark):
             distances.append(2 * 6371 * math.asin(math.sqrt(h)))
         want |= {(e.event_id, n + 1): x for n, x in enumerate(sorted(x for x in distances if x <= 400)[:12])}
     assert len(events) == 40 and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 0.5 for k in want)
+
+
+def test_forest_has_the_reference_number_of_trees(spark, monkeypatch):
+    from pyspark.ml.regression import RandomForestRegressor
+
+    from faultline.plans.queries import QUERIES
+
+    made = []
+    fit = RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, *a: made.append(m := fit(self, *a)) or m)
+    assert QUERIES["random_forest"](spark, "/root/testdata/sf0.001").count() == 1
+    assert [m.getNumTrees for m in made] == [200]
