@@ -2,35 +2,41 @@
 
 Encoding. A byte-level tokenizer never joins what stands before a space to what follows it when
 the space's next character is not white space, so texts are cut there and every distinct piece is
-encoded once for a slice (and kept in a bounded cache); ids of a text are the ids of its pieces. A
-text that holds an added token (such as the end of text) literally is encoded whole instead, where
-``added`` asks for such tokens.
+encoded once for a slice (and kept in a bounded cache, which when full keeps the pieces that came
+again); ids of a text are the ids of its pieces. A
+text that holds an added token (such as the end of text) literally is encoded whole instead, so such
+tokens get the ids that the plain call gives them.
 
 File. ``FLWM1`` and a length, a JSON header (count, bits, documents, sizes of the parts), then the
-parts, each compressed with zlib: ids of the documents, their first tokens, and one bit-plane for
+parts, each compressed with zstd: ids of the documents, their first tokens, and one bit-plane for
 each bit of the ids from the highest down. In a plane, the ids stand in the order that the planes
 above leave them in: stably, those with bit 0 first. Rank directories (ones before every 64th bit)
 are made when a plane is opened; with them access, rank, select and counting take one step a plane.
+The read back takes the first token of each shard from a running sum over the shards' counts, which
+stay in the shared folder: the driver holds nothing of them.
 
 Documents stand in ascending order of their key over all shards (rows of one key in the order of a
 hash of the text); nulls are empty texts and have the end id alone; a null key sorts first; an empty
-table gives no shard and no row. Files have a name given by partition and number, and are moved into
+table gives no shard and no row; other columns are not read. Keys are whole numbers (a text that is
+no number fails, as a cast does). Files have a name given by partition and number, and are moved into
 place when whole, so a task that runs twice leaves one file.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.shared import fresh_dir, slices, tidy
+from faultline.llm.shared import cut, fresh_dir, slices, tidy
 from faultline.llm.textvec import buffers
 
 MAGIC = b"FLWM1\n"
@@ -55,16 +61,14 @@ _MARK &= ~_ALNUM
 class Encoder:
     """Ids of whole texts, by a tokenizer of the tokenizers library."""
 
-    def __init__(self, path: str, added: bool = False):
-        """``added``: a literal added token in a text is that token, as the tokenizer has it; else it is plain text."""
+    def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = not added
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)  # of each id; the alphabet has a character for each byte
         for token, i in self.tokenizer.get_vocab().items():
             self.bytes[i] = len(token)
@@ -73,42 +77,66 @@ class Encoder:
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.pool, self.sizes, self.begin = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.again = np.zeros(1 << 14, bool)
         self.used = 0
 
-    def _codes(self, pieces: list[str]) -> np.ndarray:
+    def _add(self, pieces: list[str], flat: np.ndarray, size: np.ndarray) -> None:
+        at = len(self.known)
+        while self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while at + len(pieces) > len(self.sizes):
+            self.sizes, self.begin, self.again = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sizes, self.begin, self.again))
+        self.pool[self.used : self.used + len(flat)] = flat
+        self.sizes[at : at + len(pieces)] = size
+        self.begin[at : at + len(pieces)] = self.used + np.cumsum(size) - size
+        self.again[at : at + len(pieces)] = False
+        self.used += len(flat)
+        self.known.update(zip(pieces, range(at, at + len(pieces)), strict=True))
+
+    def _thin(self) -> None:
+        """Keep the pieces that came again since they were added, or none if that is most of them."""
+        keep = np.flatnonzero(self.again[: len(self.known)])
+        names = list(self.known)
+        pool, sizes, begin = self.pool, self.sizes, self.begin
+        self._clear()
+        if len(keep) <= CACHE // 2:
+            size = sizes[keep]
+            flat = pool[np.repeat(begin[keep] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+            self._add([names[i] for i in keep.tolist()], flat, size)
+
+    def _codes(self, distinct: pa.Array) -> np.ndarray:
+        """Places of distinct pieces among the known ones; new ones are encoded."""
+        pieces = distinct.to_pylist()
         if len(self.known) + len(pieces) > CACHE:
-            self._clear()
-        known = self.known
-        new = [p for p in pieces if p not in known]
-        if new:
-            new, flat, size = self._encode_new(new)
-            at = len(known)
-            while self.used + len(flat) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            while at + len(new) > len(self.sizes):
-                self.sizes, self.begin = np.concatenate([self.sizes, np.zeros_like(self.sizes)]), np.concatenate([self.begin, np.zeros_like(self.begin)])
-            self.pool[self.used : self.used + len(flat)] = flat
-            self.sizes[at : at + len(new)] = size
-            self.begin[at : at + len(new)] = self.used + np.cumsum(size) - size
-            self.used += len(flat)
-            known.update(zip(new, range(at, at + len(new)), strict=True))
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
-
-    def _encode_new(self, new: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """The pieces in the order taken, all their ids, and how many ids each has.
+            self._thin()
+        get = self.known.get
+        code = np.fromiter((get(p, -1) for p in pieces), np.int64, len(pieces))
+        self.again[code[code >= 0]] = True
+        new = np.flatnonzero(code < 0)
+        if len(new):
+            at = len(self.known)
+            order = self._encode_new([pieces[i] for i in new.tolist()], distinct.take(pa.array(new)))
+            code[new[order]] = np.arange(at, at + len(new))
+        return code
+
+    def _encode_new(self, new: list[str], column: pa.Array) -> np.ndarray:
+        """Encodes pieces and adds them to the known ones; returns the order that they were added in.
 
         A piece that begins with a space before a visible character is cut off from whatever stands
         before it, so many such pieces make one text; the bytes of its ids tell where each ends.
         """
-        led = [p for p in new if p[0] == " " and not p[1:2].isspace() and len(p) > 1]
-        rest = [p for p in new if not (p[0] == " " and not p[1:2].isspace() and len(p) > 1)]
-        texts = ["".join(led[i : i + JOINED]) for i in range(0, len(led), JOINED)]
-        got = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts + rest, add_special_tokens=False)]
+        data, off = buffers(column)
+        size = np.diff(off)
+        joins = (size > 1) & (data[off[:-1]] == 32) & ~_SPACE[data[np.minimum(off[:-1] + 1, len(data) - 1)]]
+        led, rest = np.flatnonzero(joins), np.flatnonzero(~joins)
+        texts = ["".join([new[j] for j in led[i : i + JOINED].tolist()]) for i in range(0, len(led), JOINED)]
+        got = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts + [new[j] for j in rest.tolist()], add_special_tokens=False)]
         joined = np.concatenate(got[: len(texts)]) if texts else np.zeros(0, np.uint32)
-        ends = np.cumsum(self.bytes[joined])
-        last = np.searchsorted(ends, np.cumsum(np.fromiter((len(p.encode()) for p in led), np.int64, len(led))))
-        size = np.concatenate([np.diff(last + 1, prepend=0), [len(x) for x in got[len(texts) :]]]).astype(np.int64)
-        return led + rest, np.concatenate([joined, *got[len(texts) :]]), size
+        last = np.searchsorted(np.cumsum(self.bytes[joined]), np.cumsum(size[led]))
+        count = np.concatenate([np.diff(last + 1, prepend=0), [len(x) for x in got[len(texts) :]]]).astype(np.int64)
+        order = np.concatenate([led, rest])
+        self._add([new[j] for j in order.tolist()], np.concatenate([joined, *got[len(texts) :]]), count)
+        return order
 
     def _holding(self, texts: pa.Array) -> pa.Array:
         """The rows whose texts hold an added token."""
@@ -146,7 +174,7 @@ class Encoder:
         cut[-1] = False
         start = np.flatnonzero(cut)
         pieces = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(np.append(start, len(data)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))).dictionary_encode()
-        code = self._codes(pieces.dictionary.to_pylist())[pieces.indices.to_numpy()] if len(start) else np.zeros(0, np.int64)
+        code = self._codes(pieces.dictionary)[pieces.indices.to_numpy()] if len(start) else np.zeros(0, np.int64)
         size = self.sizes[code]
         row = np.searchsorted(off, start, side="right") - 1
         count = np.bincount(row, weights=size, minlength=n).astype(np.int64)
@@ -168,15 +196,15 @@ class Encoder:
         return out, count + 1
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str, added: bool = False) -> Encoder:
+def encoder(path: str) -> Encoder:
     """The worker process's encoder: tasks that follow one another share its pieces."""
-    if (path, added) not in _ENCODERS:
+    if path not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path, added] = Encoder(path, added)
-    return _ENCODERS[path, added]
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def pack(ids: np.ndarray, keys: np.ndarray, counts: np.ndarray, valid: np.ndarray) -> bytes:
@@ -187,8 +215,9 @@ def pack(ids: np.ndarray, keys: np.ndarray, counts: np.ndarray, valid: np.ndarra
     for bit in range(bits - 1, -1, -1):
         b = (a >> a.dtype.type(bit) & a.dtype.type(1)).astype(bool)
         parts.append(np.packbits(b).tobytes())
-        a = np.concatenate([a[~b], a[b]])
-    packed = [zlib.compress(p, 1) for p in parts]
+        a = np.concatenate([a.take(np.flatnonzero(~b)), a.take(np.flatnonzero(b))])
+    press = zstandard.ZstdCompressor(level=1)
+    packed = [press.compress(p) for p in parts]
     header = json.dumps({"tokens": len(ids), "bits": bits, "documents": len(keys), "parts": [len(p) for p in packed]}).encode()
     return b"".join([MAGIC, len(header).to_bytes(4, "little"), header, *packed])
 
@@ -204,13 +233,13 @@ class Shard:
         self.tokens, self.bits, self.documents = head["tokens"], head["bits"], head["documents"]
         ends = np.cumsum([10 + size, *head["parts"]]).tolist()
         part = [file[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        self.keys = np.frombuffer(zlib.decompress(part[0]), np.int64)
-        self.valid = np.unpackbits(np.frombuffer(zlib.decompress(part[1]), np.uint8), count=self.documents).astype(bool)
-        self.counts = np.frombuffer(zlib.decompress(part[2]), np.int64)
+        self.keys = np.frombuffer(zstandard.decompress(part[0]), np.int64)
+        self.valid = np.unpackbits(np.frombuffer(zstandard.decompress(part[1]), np.uint8), count=self.documents).astype(bool)
+        self.counts = np.frombuffer(zstandard.decompress(part[2]), np.int64)
         self._planes, self._rank = part[3:], {}
 
     def plane(self, p: int) -> np.ndarray:
-        return np.unpackbits(np.frombuffer(zlib.decompress(self._planes[p]), np.uint8), count=self.tokens).view(bool)
+        return np.unpackbits(np.frombuffer(zstandard.decompress(self._planes[p]), np.uint8), count=self.tokens).view(bool)
 
     def _directory(self, p: int) -> tuple[np.ndarray, np.ndarray, int]:
         if p not in self._rank:
@@ -275,25 +304,24 @@ class Shard:
             b = self.plane(p)
             zeros = self.tokens - int(np.count_nonzero(b))
             up = np.empty_like(a)
-            up[~b] = a[:zeros]
-            up[b] = a[zeros:] | a.dtype.type(1 << (self.bits - 1 - p))
+            up[np.flatnonzero(~b)] = a[:zeros]
+            up[np.flatnonzero(b)] = a[zeros:] | a.dtype.type(1 << (self.bits - 1 - p))
             a = up
         return a
 
 
 def put(path: str, content: bytes) -> None:
     """Write a file whole: under another name first, then moved."""
-    import os
-
     from pyarrow import fs
 
     system, at = fs.FileSystem.from_uri(path)
-    with system.open_output_stream(f"{at}.{os.getpid()}.part") as f:
+    part = f"{at}.{uuid.uuid4().hex}.part"
+    with system.open_output_stream(part) as f:
         f.write(content)
-    system.move(f"{at}.{os.getpid()}.part", at)
+    system.move(part, at)
 
 
-def write(documents: DataFrame, tokenizer: str, path: str, end: int = 2, key: str = "doc_id", text: str = "text", added: bool = False) -> DataFrame:
+def write(documents: DataFrame, tokenizer: str, path: str, end: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode and write shards below ``path``; returns shard (partition and number), documents and tokens of each."""
     from pyarrow import fs
 
@@ -323,7 +351,7 @@ def write(documents: DataFrame, tokenizer: str, path: str, end: int = 2, key: st
 
         held = 0
         for batch in slices(batches, "__text", 1 << 23):
-            got, count = encoder(tokenizer, added).encode(batch.column("__text"), end)
+            got, count = encoder(tokenizer).encode(batch.column("__text"), end)
             k = batch.column("__key")
             ids.append(got)
             counts.append(count)
@@ -359,17 +387,13 @@ def read(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
     return files.mapInArrow(tidy(decode), f"`{key}` long, part int, number int, start long, n_tokens long, ids_crc32 long")
 
 
-def round_trip(documents: DataFrame, tokenizer: str, end: int = 2, key: str = "doc_id", text: str = "text", added: bool = False) -> DataFrame:
+def round_trip(documents: DataFrame, tokenizer: str, end: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Write all documents, then read each back: key, start over all shards, n_tokens, ids_crc32."""
     spark = documents.sparkSession
     path = fresh_dir(spark, "tokens")
-    written = sorted(tuple(r) for r in write(documents, tokenizer, path, end, key, text, added).collect())  # a row a shard, not a document
-    schema = f"`{key}` long, start long, n_tokens long, ids_crc32 long"
-    if not written:
-        return spark.createDataFrame([], schema)
-    total, first = 0, []
-    for part, number, _, tokens in written:
-        first.append((part, number, total))
-        total += tokens
-    starts = F.broadcast(spark.createDataFrame(first, "part int, number int, __before long"))
+    shards = cut(write(documents, tokenizer, path, end, key, text))  # a row a shard
+    # parts are at most the shuffle partitions, so the window over all of them is small
+    parts = shards.groupBy("part").agg(F.sum("tokens").alias("all")).withColumn("__of", F.sum("all").over(Window.orderBy("part")) - F.col("all"))
+    before = F.sum("tokens").over(Window.partitionBy("part").orderBy("number")) - F.col("tokens") + F.col("__of")
+    starts = shards.join(parts.select("part", "__of"), "part").select("part", "number", before.alias("__before"))
     return read(spark, path, key).join(starts, ["part", "number"]).select(key, (F.col("start") + F.col("__before")).alias("start"), "n_tokens", "ids_crc32")

@@ -85,7 +85,6 @@ def test_permutation(n):
 def test_tokens(docs, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     got = sorted(wavelet.round_trip(docs, path).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == sorted((k for k, _ in TEXTS), key=lambda k: -1 if k is None else k)
     start, texts = 0, collections.defaultdict(list)
