@@ -11,17 +11,18 @@ tables by bits of its hash; t = floor(ln w / r + beta) and the shingle of the le
 ln c - r * (t - beta + 1) is the sample. Two texts agree in a sample with the probability of their
 weighted Jaccard similarity. ``BANDS`` bands of ``ROWS`` samples make bucket keys.
 
-Candidates. Texts with equal words are one node. In a bucket every member is paired with up to three
-centres (least, largest, and least-hashed id), and a bucket of at most ``SMALL`` members gives all
-its pairs: rows grow in proportion to members. Pairs are verified by the exact weighted similarity of
-whole texts. Members of large buckets that are still apart after components are joined meet new centres
-for a few rounds. Then all pairs of such members that are in different components and can be similar
-are verified: they share a shingle of the rare end of both (prefix filter) and their total weights are
-close enough, which leaves no similar pair out. Components come from star contraction over tables in
-the shared folder.
+Candidates. Texts with equal words are one node. A bucket of at most ``SMALL`` members gives all its
+pairs. In a larger one every member is first paired with up to three centres (least and least-hashed id,
+and the member of most company, which the original of many edited copies tends to be), so rows grow in
+proportion to members. Pairs are verified by the exact weighted similarity of whole texts, and components
+are joined. Then every member that is not in the largest component of its bucket is compared with all
+members of all its large buckets: such members are dealt in blocks of about ``DEAL``, the bucket's members
+in runs of ``RUN``, and one task multiplies the weights of a block and a run, so no pair is ever a row and
+no link inside a bucket is lost. Components come from star contraction over tables in the shared folder.
 
 Nulls are empty texts. Texts without words are near copies of nothing; equal ones are one class.
-Repeated rows are copies; a null key never names a class unless all its members have none; an empty
+Repeated rows are copies; very long texts are read whole, alone in their slice; keys are whole numbers
+(a text that is no number fails, as a cast does); a null key never names a class unless all its members have none; an empty
 table gives an empty result; only the key and the text are read, so other columns may have any name.
 """
 
@@ -43,13 +44,15 @@ BANDS, ROWS = 16, 4
 IDF_SCALE = 0.25
 BUCKETS = 1 << 18
 SMALL = 12
+#: Tasks that rows of one key are dealt over.
+SALT = 16
 _BITS = 13
 #: Rows of a centre that one verification task gets.
 SPREAD = 400
-#: Ids outside a key's largest component that one task compares with all ids of the key.
-DEAL = 64
-#: Most rounds of new centres.
-TURNS = 3
+#: Members outside their bucket's largest component that are one block, and members that meet a block in one task.
+DEAL, RUN = 256, 4096
+#: Features of a block and a run that are multiplied at once.
+WIDE = 1024
 
 
 def _gamma(seed: int) -> np.ndarray:
@@ -176,7 +179,7 @@ def _counts(rows: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _signatures(rows: DataFrame, idf: object) -> DataFrame:
-    """Per row: __id, two content hashes, and keys of its bands (none without words)."""
+    """Per row: __id, key, two content hashes, and keys of its bands (none without words)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, tables = idf.value, _tables()
@@ -189,19 +192,16 @@ def _signatures(rows: DataFrame, idf: object) -> DataFrame:
             size[at] = BANDS
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(keys.ravel()))
             h1, h2 = content(w, texts)
-            yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(h1), pa.array(h2), lists], names=["__id", "h1", "h2", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("key"), pa.array(h1), pa.array(h2), lists], names=["__id", "key", "h1", "h2", "bands"])
 
-    return rows.select("__id", "text").mapInArrow(tidy(sign), "__id long, h1 long, h2 long, bands array<long>")
+    return rows.select("__id", "key", "text").mapInArrow(tidy(sign), "__id long, key long, h1 long, h2 long, bands array<long>")
 
 
 def verified(pairs: DataFrame, rows: DataFrame, idf: object, least: float) -> DataFrame:
-    """Pairs (a, b) whose texts are similar. Only texts in pairs are moved; a centre of many pairs is dealt over tasks."""
-    pairs = cut(pairs)
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("__id")).distinct()
-    texts = written(rows.join(ids, "__id").select("__id", "text"), "pairs")
-    many = pairs.groupBy("a").agg((F.floor(F.count(F.lit(1)) / SPREAD) + 1).cast("int").alias("deal"))
-    dealt = pairs.join(many, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("deal")).cast("int"))
-    left = texts.join(many, texts["__id"] == many["a"]).select(F.col("a"), F.col("text").alias("ta"), F.explode(F.sequence(F.lit(0), F.col("deal") - 1)).alias("salt"))
+    """Pairs (a, b) whose texts are similar. Only texts in pairs are moved; a centre ``a`` of many pairs is dealt over ``deal`` tasks."""
+    dealt = cut(pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.col("deal")).cast("int")).drop("deal"))
+    texts = rows.select("__id", "text")
+    left = dealt.select("a", "salt").distinct().join(texts, F.col("a") == texts["__id"]).select("a", "salt", F.col("text").alias("ta"))
     both = dealt.join(texts.select(F.col("__id").alias("b"), F.col("text").alias("tb")), "b").join(left, ["a", "salt"]).select("a", "b", "ta", "tb")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,108 +236,177 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 
 
 def _candidates(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs from buckets (key, id), and the large buckets' members."""
-    stats = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("c1"), F.max("id").alias("c2"), F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("c3")).where("n > 1")
-    members = cut(keys.join(stats, "key"))
-    stars = members.select("id", F.explode(F.array_distinct(F.array("c1", "c2", "c3"))).alias("c")).where("id <> c")
-    small = members.where(F.col("n") <= SMALL).groupBy("key").agg(F.collect_list("id").alias("ids"))
-    pairs = small.select(F.explode("ids").alias("id"), "ids").select("id", F.explode("ids").alias("c")).where("id > c")
-    return _pairs(stars.unionByName(pairs)), members.where(F.col("n") > SMALL).select("key", "id")
-
+    """Pairs from buckets (key, id): centre a, other b and the tasks that the centre is dealt over; and the large buckets' members (key, id, n).
 
-def _prefixes(texts: DataFrame, idf: object, least: float) -> DataFrame:
-    """Per text (__id, text): the shingles of its rare end, with its total weight.
-
-    In the order of falling idf these are the shingles before which there is at most 1 - ``least`` of
-    the text's weight: two texts that share none of them share less than ``least`` of either.
+    Rows here are a few numbers wide; a hot key of the joins is split by adaptive execution.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = idf.value
-        for batch in slices(batches, "text"):
-            row, s, tf = shingles(batch.column("text"))
-            order = np.lexsort((s, -table[bucket(s)], row))
-            s, weight = s[order], weights(s, tf, table)[order].astype(np.float64)
-            total = np.bincount(row, weight, batch.num_rows)
-            before = np.cumsum(weight) - weight - (np.cumsum(total) - total)[row]
-            at = np.flatnonzero(before <= (1 - least + 1e-4) * total[row])
-            yield pa.RecordBatch.from_arrays([batch.column("__id").take(pa.array(row[at])), pa.array(s[at].astype(np.int64)), pa.array(total[row[at]])], names=["id", "key", "total"])
-
-    return texts.select("__id", "text").mapInArrow(tidy(run), "id long, key long, total double")
-
-
-def _placed(large: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``large`` with the component of each id, and the largest component of each key that has several."""
-    members = cut(large.join(found, large["id"] == found["node"], "left").select(*large.columns, F.coalesce("component", "id").alias("component")))
-    groups = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
-    main = groups.agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.ceil((F.sum("n") - F.max("n")) / DEAL).cast("int").alias("deal")).where("deal > 0")
-    return members, main
-
-
-def _again(members: DataFrame, main: DataFrame, turn: int) -> DataFrame:
-    """Pairs of a large bucket's members outside its largest component with new centres: one of that component, one outside, and the one of most company."""
-    m = members.join(main, "key")
-    nth, inside = F.struct(F.xxhash64("id", F.lit(turn)), "id"), F.col("component") == F.col("main")
-    centres = m.groupBy("key").agg(F.min(F.when(inside, nth))["id"].alias("c1"), F.min(F.when(~inside, nth))["id"].alias("c2"), F.max(F.struct("company", "id"))["id"].alias("c3"))
-    return _pairs(m.where(~inside).join(centres, "key").select("id", F.explode(F.array_distinct(F.array("c1", "c2", "c3"))).alias("c")).where("id <> c"))
-
-
-def _apart(members: DataFrame, main: DataFrame, least: float) -> DataFrame:
-    """All pairs of ids of one key that are in different components and may be similar by their total weights.
-
-    Ids outside a key's largest component are dealt over tasks, and each deal meets all ids of the key.
+    stats = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("c1"), F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("c2")).where("n > 1")
+    members = cut(keys.join(stats, "key"))
+    few = members.where(F.col("n") <= SMALL).groupBy("key").agg(F.collect_list("id").alias("ids"))
+    pairs = few.select(F.explode("ids").alias("a"), "ids").select("a", F.explode("ids").alias("b"), F.lit(1).alias("deal")).where("a < b")
+    large = members.where(F.col("n") > SMALL)
+    if large.isEmpty():
+        return pairs.distinct(), large.select("key", "id", "n")
+    large = cut(large.join(large.groupBy("id").agg(F.sum("n").alias("company")), "id"))
+    most = large.groupBy("key").agg(F.max(F.struct("company", "id"))["id"].alias("c3"))
+    stars = large.join(most, "key").select(F.explode(F.array_distinct(F.array("c1", "c2", "c3"))).alias("a"), F.col("id").alias("b"), (F.floor(F.col("n") / SPREAD) + 1).cast("int").alias("deal"))
+    low, high = F.least("a", "b"), F.greatest("a", "b")
+    one = pairs.unionByName(stars.where("a <> b")).groupBy(low.alias("low"), high.alias("high")).agg(F.max(F.struct("deal", "a")).alias("x"))
+    return one.select("x.a", F.when(F.col("x.a") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"), "x.deal"), large.select("key", "id", "n")
+
+
+def _spread(left: DataFrame, right: DataFrame, key: str, by: str) -> DataFrame:
+    """``left`` with many rows of one ``key`` joined to few of ``right``, dealt over ``SALT`` tasks a key by ``by``."""
+    salted = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return left.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(SALT)).cast("int")).join(salted, [key, "__salt"]).drop("__salt")
+
+
+def _features(texts: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, 64-bit feature and weight, and each text's total weight.
+
+    A shingle of count n is n features, the k-th of which has the weight that the k-th occurrence adds;
+    so the lesser of two weights of a shingle is the weight of the features that both texts have.
     """
-    m = members.join(main, "key")
-    x = m.where("component <> main").select("key", F.pmod(F.xxhash64("id"), F.col("deal")).cast("int").alias("salt"), "id", "component", "total")
-    y = m.select("key", F.explode(F.sequence(F.lit(0), F.col("deal") - 1)).alias("salt"), F.col("id").alias("c"), F.col("component").alias("of"), F.col("total").alias("size"), (F.col("component") == F.col("main")).alias("inside"))
-    bound = F.least("total", "size") >= F.greatest("total", "size") * (least - 1e-4)
-    return _pairs(x.join(y, ["key", "salt"]).where((F.col("component") != F.col("of")) & (F.col("inside") | (F.col("id") < F.col("c"))) & bound))
-
-
-def _pairs(links: DataFrame) -> DataFrame:
-    """The smaller id, often a centre, is a."""
-    return links.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
-
-
-def classes(documents: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
-    """Per row: key, class_id (the class's least key), class_size, and first (this row stays of its class)."""
-    spark = documents.sparkSession
-    rows = written(documents.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("__id", F.monotonically_increasing_id()), "texts")
+    row, s, tf = shingles(texts)
+    at = np.repeat(np.arange(len(s)), tf)
+    nth = np.arange(len(at)) - np.repeat(np.cumsum(tf) - tf, tf) + 1
+    adds = np.where(nth > 1, np.log(nth) - np.log(np.maximum(nth - 1, 1)), 1.0)
+    weight = adds * idf[bucket(s)][at]
+    return row[at], s[at] | nth.astype(_U64) << _U64(44), weight, np.bincount(row[at], weight, len(texts))
+
+
+class Block:
+    """Texts that are compared with many others."""
+
+    def __init__(self, texts: pa.Array, idf: np.ndarray):
+        self.n, self.idf = len(texts), idf
+        row, feature, weight, self.total = _features(texts, idf)
+        self.known, code = np.unique(feature, return_inverse=True)
+        order = np.argsort(code, kind="stable")
+        self.row, self.weight = row[order], np.zeros(len(self.known))
+        self.weight[code] = weight
+        self.begin = np.searchsorted(code[order], np.arange(len(self.known) + 1))
+
+    def similarity(self, texts: pa.Array) -> np.ndarray:
+        """Weighted Jaccard similarity of every text of the block (rows) and every one of ``texts``."""
+        row, feature, _, total = _features(texts, self.idf)
+        m, both = len(texts), np.zeros((self.n, len(texts)))
+        if len(self.known) and len(feature):
+            at = np.searchsorted(self.known, feature)
+            at[at == len(self.known)] = 0
+            same = self.known[at] == feature
+            row, at = row[same], at[same]
+        else:
+            row, at = row[:0], np.zeros(0, np.int64)
+        size = np.diff(self.begin)
+        here = np.bincount(at, minlength=len(self.known))
+        # a feature that many on both sides have is multiplied as a column; others are counted pair by pair
+        wide = np.flatnonzero(size * here > self.n * m / 100)
+        place = np.full(len(self.known), -1)
+        place[wide] = np.arange(len(wide))
+        for lo in range(0, len(wide), WIDE):
+            some = wide[lo : lo + WIDE]
+            a, b = np.zeros((self.n, len(some))), np.zeros((m, len(some)))
+            n = size[some]
+            a[self.row[np.repeat(self.begin[some] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], np.repeat(np.arange(len(some)), n)] = np.repeat(self.weight[some], n)
+            mine = (place[at] >= lo) & (place[at] < lo + WIDE)
+            b[row[mine], place[at[mine]] - lo] = 1
+            both += a @ b.T
+        rest = place[at] < 0
+        row, at = row[rest], at[rest]
+        n = size[at]
+        step = 1 << 20
+        ends = np.cumsum(n)
+        for lo in np.searchsorted(ends, np.arange(0, int(ends[-1]) if len(ends) else 0, step), side="right").tolist():
+            hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + step, side="right"))
+            hi = max(hi, lo + 1)
+            k = n[lo:hi]
+            mine = self.row[np.repeat(self.begin[at[lo:hi]] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))]
+            both += np.bincount(mine * m + np.repeat(row[lo:hi], k), np.repeat(self.weight[at[lo:hi]], k), self.n * m).reshape(self.n, m)
+        union = self.total[:, None] + total[None, :] - both
+        return np.divide(both, union, out=np.zeros_like(both), where=union > 0)
+
+
+def _apart(large: DataFrame, found: DataFrame, rows: DataFrame, idf: object, least: float) -> DataFrame | None:
+    """Links between different components inside large buckets (key, id, n): all members outside a bucket's largest component against all of their buckets."""
+    placed = cut(large.join(found, large["id"] == found["node"], "left").select("key", "id", "n", F.coalesce("component", "id").alias("component")))
+    groups = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("key")
+    main = groups.agg(F.max(F.struct("m", "component"))["component"].alias("main"), F.ceil((F.sum("m") - F.max("m")) / DEAL).cast("int").alias("deal")).where("deal > 0")
+    members = cut(_spread(placed, main, "key", "id"))
+    outside = members.where("component <> main")
+    if outside.isEmpty():
+        return None
+    home = outside.groupBy("id").agg(F.first("component").alias("component"), F.max(F.struct("n", "key", "deal")).alias("x"))
+    blocks = cut(home.select("id", "component", F.xxhash64("x.key", F.pmod(F.xxhash64("id"), F.col("x.deal"))).alias("block")))
+    needs = outside.select("key", "id").join(blocks.select("id", "block"), "id").select("key", "block").distinct()
+    meets = cut(_spread(members.select("key", "id", "component"), needs, "key", "id").select("block", "id", "component").distinct())
+    runs = meets.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / RUN).cast("int").alias("runs"))
+    inside = blocks.join(runs, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run"), F.lit(0).alias("role"), "id", "component", F.lit(True).alias("outside"))
+    against = _spread(meets, runs, "block", "id").select("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("runs")).cast("int").alias("run"), F.lit(1).alias("role"), "id", "component")
+    against = against.join(blocks.select("id", F.lit(True).alias("outside")), "id", "left").select("block", "run", "role", "id", "component", F.coalesce("outside", F.lit(False)).alias("outside"))
+    both = inside.unionByName(against).join(rows.select(F.col("__id").alias("id"), "text"), "id")
+    both = both.repartition("block", "run").sortWithinPartitions("block", "run", "role", "id")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, block, ids, of = None, [], None, None, None
+        for batch in slices(batches, "text"):
+            group = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("block", "run", "role")], axis=1)
+            begins = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(axis=1)])).tolist()
+            for lo, hi in zip(begins, [*begins[1:], len(group)], strict=True):
+                part, (b, r, role) = batch.slice(lo, hi - lo), group[lo].tolist()
+                if (b, r) != now:
+                    now, held, block = (b, r), [], None
+                if role == 0:
+                    held.append(part)
+                    continue
+                if block is None:
+                    whole = pa.Table.from_batches(held).combine_chunks()
+                    ids, of = whole.column("id").to_numpy(), whole.column("component").to_numpy()
+                    block, held = Block(pa.chunked_array(whole.column("text").chunks).combine_chunks(), idf.value), []
+                other, to, out = (part.column(c).to_numpy(zero_copy_only=False) for c in ("id", "component", "outside"))
+                ok = (block.similarity(part.column("text")) >= least) & (of[:, None] != to[None, :]) & (~out[None, :] | (ids[:, None] < other[None, :]))
+                x, y = np.nonzero(ok)
+                # one link between a text of the block and a component is enough
+                _, first = np.unique(np.stack([x, to[y]], axis=1), axis=0, return_index=True) if len(x) else (None, np.zeros(0, np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[x[first]]), pa.array(other[y[first]])], names=["a", "b"])
+
+    return cut(both.mapInArrow(tidy(compare), "a long, b long"))
+
+
+def _classed(rows: DataFrame, least: float) -> DataFrame:
+    """``rows`` (__id, unique, key and text; stored): __id, key, class_id, class_size and first."""
+    spark = rows.sparkSession
     counts, n = _counts(rows)
     idf = spark.sparkContext.broadcast(idf_table(counts, n))
     signed = written(_signatures(rows, idf), "signatures")
-    copies = signed.groupBy("h1", "h2").agg(F.min("__id").alias("node"))
-    nodes = cut(copies)
-    keys = signed.join(nodes.select(F.col("node").alias("__id")), "__id", "left_semi").select(F.explode("bands").alias("key"), F.col("__id").alias("id"))
-    pairs, large = _candidates(keys)
+    nodes = cut(signed.groupBy("h1", "h2").agg(F.min("__id").alias("node"), F.min_by("bands", "__id").alias("bands")))
+    pairs, large = _candidates(nodes.select(F.explode("bands").alias("key"), F.col("node").alias("id")))
     links = verified(pairs, rows, idf, least)
     found = cut(components(links))
-    if not large.isEmpty():
-        large = cut(large.join(large.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key"))
-        large = cut(large.join(large.groupBy("id").agg(F.sum("n").alias("company")), "id").select("key", "id", "company"))
-        members, main = _placed(large, found)
-        for turn in range(TURNS):  # these only leave less to the comparison of all that are apart
-            again = cut(_again(members, main, turn).join(pairs, ["a", "b"], "left_anti"))
-            more = verified(again, rows, idf, least)
-            pairs = pairs.unionByName(again)
-            if more.isEmpty():
-                break
-            links = cut(links.unionByName(more))
-            found = cut(components(links))
-            members, main = _placed(large, found)
-        ids = members.join(main, "key", "left_semi").select(F.col("id").alias("__id")).distinct()
-        members, main = _placed(_prefixes(rows.join(ids, "__id"), idf, least), found)
-        rest = cut(_apart(members, main, least).join(pairs, ["a", "b"], "left_anti"))
-        more = verified(rest, rows, idf, least)
-        if not more.isEmpty():
-            found = cut(components(links.unionByName(more)))
+    more = None if large.isEmpty() else _apart(large, found, rows, idf, least)
+    if more is not None and not more.isEmpty():
+        found = cut(components(links.unionByName(more)))
     node = nodes.join(found, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component"))
-    # a text copied often is a frequent (h1, h2): rows are narrow, and the salt spreads them
-    salt = 16
-    spread = node.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    named = signed.select("__id", "h1", "h2").withColumn("salt", F.pmod("__id", F.lit(salt)).cast("int")).join(spread, ["h1", "h2", "salt"]).select("__id", "component").join(rows.select("__id", "key"), "__id")
-    named = cut(named)
+    # a text copied often is a frequent (h1, h2), a large class a frequent component: rows are narrow, and the salt spreads them
+    spread = node.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    salt = F.pmod("__id", F.lit(SALT)).cast("int")
+    named = cut(signed.select("__id", "key", "h1", "h2").withColumn("salt", salt).join(spread, ["h1", "h2", "salt"]).select("__id", "key", "component"))
     sizes = named.groupBy("component").agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct(F.col("key").isNull(), "key", "__id"))["__id"].alias("keeps"))
-    spread = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    out = named.withColumn("salt", F.pmod("__id", F.lit(salt)).cast("int")).join(spread, ["component", "salt"])
-    return out.select(F.col("key").alias(key), "class_id", "class_size", (F.col("__id") == F.col("keeps")).alias("first"))
+    spread = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    out = named.withColumn("salt", salt).join(spread, ["component", "salt"])
+    return out.select("__id", "key", "class_id", "class_size", (F.col("__id") == F.col("keeps")).alias("first"))
+
+
+def classes(documents: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
+    """Per row: key, class_id (the class's least key), class_size, and first (this row stays of its class)."""
+    rows = written(documents.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("__id", F.monotonically_increasing_id()), "texts")
+    return _classed(rows, least).select(F.col("key").alias(key), "class_id", "class_size", "first")
+
+
+def representatives(documents: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
+    """One whole row of ``documents`` for each class: that of the least key."""
+    whole = F.struct(*(F.col(f"`{c}`") for c in documents.columns if c != text), F.col(f"`{text}`").isNull().alias("__null")).alias("row")
+    rows = written(documents.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), whole).withColumn("__id", F.monotonically_increasing_id()), "texts")
+    kept = rows.join(_classed(rows, least).where("first").select("__id"), "__id", "left_semi")
+    own = F.when(~F.col("row.__null"), F.col("text")).cast(documents.schema[text].dataType).alias(text)
+    return kept.select(*(own if c == text else F.col("row")[c].alias(c) for c in documents.columns))

@@ -74,6 +74,44 @@ def test_classes_equal_brute_force(spark, monkeypatch):
     assert all(r.class_size == sizes[r.class_id] and r.first == (r.doc_id == r.class_id) for r in rows.values())
 
 
+def test_block_similarity_equals_that_of_pairs():
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    line = " ".join(rng.choices(words, k=9)) + "\n"
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 80))) + line * rng.randint(0, 6) for _ in range(40)] + ["", "one two", "one two"]
+    idf = np.random.default_rng(0).uniform(1, 1.3, minhash.BUCKETS).astype(np.float32)
+    left, right = pa.array(texts[:20] + texts[-2:]), pa.array(texts)
+    got = minhash.Block(left, idf).similarity(right)
+    for i, x in enumerate(left.to_pylist()):
+        assert np.allclose(got[i], minhash.similarity(pa.array([x] * len(texts)), right, idf), atol=1e-6)
+
+
+def test_classes_with_the_real_weights(spark):
+    """Document frequencies by brute force; pairs within 0.02 of the limit may fall either way, for df is counted in buckets."""
+    texts = corpus(seed=5)
+    sets = shingle_sets(texts)
+    df = collections.Counter(k for c in sets for k in c)
+    n = len(texts)
+    weight = [{k: (1 + np.log(tf)) * (1 + minhash.IDF_SCALE * np.log((1 + n) / (1 + df[k])) / np.log(1 + n)) for k, tf in c.items()} for c in sets]
+    total = [sum(w.values()) for w in weight]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    of = {r.doc_id: r.class_id for r in minhash.classes(docs).collect()}
+    linked, head = 0, {i: i for i in range(n)}
+    for i in range(n):
+        for j in range(i):
+            both = sum(min(weight[i][k], weight[j][k]) for k in weight[i].keys() & weight[j].keys())
+            s = both / (total[i] + total[j] - both)
+            if s >= 0.82:
+                linked += 1
+                assert of[i] == of[j], (i, j, s)
+            if s >= 0.78:
+                a, b = sorted((of[i], of[j]))
+                head[i] = head[j] = 0 if a == b else head[i]
+    assert linked > 100
+    for c, members in collections.Counter(of.values()).items():  # no class without a similar pair
+        assert members == 1 or any(of[i] == c and head[i] == 0 for i in range(n))
+
+
 def test_independent_copies_meet_their_original(spark, monkeypatch):
     monkeypatch.setattr(minhash, "IDF_SCALE", 0.0)
     rng = random.Random(11)
