@@ -197,10 +197,9 @@ def _signatures(rows: DataFrame, idf: object) -> DataFrame:
     return rows.select("__id", "key", "text").mapInArrow(tidy(sign), "__id long, key long, h1 long, h2 long, bands array<long>")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, idf: object, least: float) -> DataFrame:
-    """Pairs (a, b) whose texts are similar. Only texts in pairs are moved; a centre ``a`` of many pairs is dealt over ``deal`` tasks."""
+def verified(pairs: DataFrame, texts: DataFrame, idf: object, least: float) -> DataFrame:
+    """Pairs (a, b) whose texts are similar; a centre ``a`` of many pairs is dealt over ``deal`` tasks."""
     dealt = cut(pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.col("deal")).cast("int")).drop("deal"))
-    texts = rows.select("__id", "text")
     left = dealt.select("a", "salt").distinct().join(texts, F.col("a") == texts["__id"]).select("a", "salt", F.col("text").alias("ta"))
     both = dealt.join(texts.select(F.col("__id").alias("b"), F.col("text").alias("tb")), "b").join(left, ["a", "salt"]).select("a", "b", "ta", "tb")
 
@@ -327,24 +326,26 @@ class Block:
         return np.divide(both, union, out=np.zeros_like(both), where=union > 0)
 
 
-def _apart(large: DataFrame, found: DataFrame, rows: DataFrame, idf: object, least: float) -> DataFrame | None:
+def _apart(large: DataFrame, found: DataFrame, texts: DataFrame, idf: object, least: float) -> DataFrame | None:
     """Links between different components inside large buckets (key, id, n): all members outside a bucket's largest component against all of their buckets."""
     placed = cut(large.join(found, large["id"] == found["node"], "left").select("key", "id", "n", F.coalesce("component", "id").alias("component")))
     groups = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("key")
-    main = groups.agg(F.max(F.struct("m", "component"))["component"].alias("main"), F.ceil((F.sum("m") - F.max("m")) / DEAL).cast("int").alias("deal")).where("deal > 0")
+    main = groups.agg(F.max(F.struct("m", "component"))["component"].alias("main"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "main")
     members = cut(_spread(placed, main, "key", "id"))
     outside = members.where("component <> main")
     if outside.isEmpty():
         return None
-    home = outside.groupBy("id").agg(F.first("component").alias("component"), F.max(F.struct("n", "key", "deal")).alias("x"))
-    blocks = cut(home.select("id", "component", F.xxhash64("x.key", F.pmod(F.xxhash64("id"), F.col("x.deal"))).alias("block")))
+    # members that stand apart from one component share most of their buckets' members, so they are blocks together
+    home = cut(outside.groupBy("id").agg(F.first("component").alias("component"), F.max(F.struct("n", "main"))["main"].alias("home")))
+    deals = home.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / DEAL).cast("int").alias("deal"))
+    blocks = cut(_spread(home, deals, "home", "id").select("id", "component", F.xxhash64("home", F.pmod(F.xxhash64("id", F.lit(2)), F.col("deal"))).alias("block")))
     needs = outside.select("key", "id").join(blocks.select("id", "block"), "id").select("key", "block").distinct()
     meets = cut(_spread(members.select("key", "id", "component"), needs, "key", "id").select("block", "id", "component").distinct())
     runs = meets.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / RUN).cast("int").alias("runs"))
     inside = blocks.join(runs, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run"), F.lit(0).alias("role"), "id", "component", F.lit(True).alias("outside"))
     against = _spread(meets, runs, "block", "id").select("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("runs")).cast("int").alias("run"), F.lit(1).alias("role"), "id", "component")
     against = against.join(blocks.select("id", F.lit(True).alias("outside")), "id", "left").select("block", "run", "role", "id", "component", F.coalesce("outside", F.lit(False)).alias("outside"))
-    both = inside.unionByName(against).join(rows.select(F.col("__id").alias("id"), "text"), "id")
+    both = inside.unionByName(against).join(texts.select(F.col("__id").alias("id"), "text"), "id")
     both = both.repartition("block", "run").sortWithinPartitions("block", "run", "role", "id")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,9 +382,12 @@ def _classed(rows: DataFrame, least: float) -> DataFrame:
     signed = written(_signatures(rows, idf), "signatures")
     nodes = cut(signed.groupBy("h1", "h2").agg(F.min("__id").alias("node"), F.min_by("bands", "__id").alias("bands")))
     pairs, large = _candidates(nodes.select(F.explode("bands").alias("key"), F.col("node").alias("id")))
-    links = verified(pairs, rows, idf, least)
+    pairs = cut(pairs)
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("__id")).distinct()
+    texts = written(rows.select("__id", "text").join(ids, "__id", "left_semi"), "pairs")  # only texts in pairs are moved again
+    links = verified(pairs, texts, idf, least)
     found = cut(components(links))
-    more = None if large.isEmpty() else _apart(large, found, rows, idf, least)
+    more = None if large.isEmpty() else _apart(large, found, texts, idf, least)
     if more is not None and not more.isEmpty():
         found = cut(components(links.unionByName(more)))
     node = nodes.join(found, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component"))
