@@ -43,7 +43,7 @@ MAGIC = b"FLWM1\n"
 #: Tokens after which a shard is closed.
 SHARD_TOKENS = 3_000_000
 #: Pieces that an encoder keeps.
-CACHE = 800_000
+CACHE = 1_000_000
 #: New pieces that are encoded as one text.
 JOINED = 2000
 
@@ -75,12 +75,12 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.pool, self.sizes, self.begin = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.again = np.zeros(1 << 14, bool)
         self.used = 0
 
-    def _add(self, pieces: list[str], flat: np.ndarray, size: np.ndarray) -> None:
+    def _add(self, pieces: pa.Array, flat: np.ndarray, size: np.ndarray) -> None:
         at = len(self.known)
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
@@ -91,40 +91,38 @@ class Encoder:
         self.begin[at : at + len(pieces)] = self.used + np.cumsum(size) - size
         self.again[at : at + len(pieces)] = False
         self.used += len(flat)
-        self.known.update(zip(pieces, range(at, at + len(pieces)), strict=True))
+        self.known = pa.concat_arrays([self.known, pieces])
 
     def _thin(self) -> None:
         """Keep the pieces that came again since they were added, or none if that is most of them."""
         keep = np.flatnonzero(self.again[: len(self.known)])
-        names = list(self.known)
-        pool, sizes, begin = self.pool, self.sizes, self.begin
+        known, pool, sizes, begin = self.known, self.pool, self.sizes, self.begin
         self._clear()
         if len(keep) <= CACHE // 2:
             size = sizes[keep]
             flat = pool[np.repeat(begin[keep] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
-            self._add([names[i] for i in keep.tolist()], flat, size)
+            self._add(known.take(pa.array(keep)), flat, size)
 
     def _codes(self, distinct: pa.Array) -> np.ndarray:
         """Places of distinct pieces among the known ones; new ones are encoded."""
-        pieces = distinct.to_pylist()
-        if len(self.known) + len(pieces) > CACHE:
+        if len(self.known) + len(distinct) > CACHE:
             self._thin()
-        get = self.known.get
-        code = np.fromiter((get(p, -1) for p in pieces), np.int64, len(pieces))
+        code = pc.fill_null(pc.index_in(distinct, value_set=self.known), -1).to_numpy().astype(np.int64)
         self.again[code[code >= 0]] = True
         new = np.flatnonzero(code < 0)
         if len(new):
             at = len(self.known)
-            order = self._encode_new([pieces[i] for i in new.tolist()], distinct.take(pa.array(new)))
+            order = self._encode_new(distinct.take(pa.array(new)))
             code[new[order]] = np.arange(at, at + len(new))
         return code
 
-    def _encode_new(self, new: list[str], column: pa.Array) -> np.ndarray:
+    def _encode_new(self, column: pa.Array) -> np.ndarray:
         """Encodes pieces and adds them to the known ones; returns the order that they were added in.
 
         A piece that begins with a space before a visible character is cut off from whatever stands
         before it, so many such pieces make one text; the bytes of its ids tell where each ends.
         """
+        new = column.to_pylist()
         data, off = buffers(column)
         size = np.diff(off)
         joins = (size > 1) & (data[off[:-1]] == 32) & ~_SPACE[data[np.minimum(off[:-1] + 1, len(data) - 1)]]
@@ -135,7 +133,7 @@ class Encoder:
         last = np.searchsorted(np.cumsum(self.bytes[joined]), np.cumsum(size[led]))
         count = np.concatenate([np.diff(last + 1, prepend=0), [len(x) for x in got[len(texts) :]]]).astype(np.int64)
         order = np.concatenate([led, rest])
-        self._add([new[j] for j in order.tolist()], np.concatenate([joined, *got[len(texts) :]]), count)
+        self._add(column.take(pa.array(order)), np.concatenate([joined, *got[len(texts) :]]), count)
         return order
 
     def _holding(self, texts: pa.Array) -> pa.Array:
