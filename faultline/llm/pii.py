@@ -3,20 +3,29 @@
 Base kinds (email, ip, card, phone) are regular expressions with a check. Spark gives the matches of
 an expression and the text between them, so a running sum of lengths gives code-point offsets.
 
-Bootstrapping. Every word-like token of six or more characters with a digit is a candidate; two
-patterns describe it: the words and marks left of it, and its shape (kinds of characters, length).
-Candidates that lie in a base span, or match a seed expression, are the seeds, of score 1. Then, for
-some rounds, a pattern scores the mean score of its distinct candidates (shrunk towards 0 when they
-are few), and a candidate that is no seed scores the mean of its patterns, weighted by the logarithm
-of their size. In the end, candidates of a high score that have a high-scoring pattern which holds
-enough seeds are spans of the kind that most of the pattern's seeds have.
-
-Graph tables hold distinct (pattern, candidate) pairs; sums by pattern are pre-aggregated, and joins
-on a frequent pattern are salted. Occurrences are read from a narrow table in the shared folder, so
-texts are read once.
+Seeds are all base spans and the matches of ``SEEDS`` (secrets of known formats, spans of their own).
+In a second text every seed is one character, so that a seed is a token like any other, and tokens
+are what stands between white space. A token has a value (without the marks around it, and without
+what stands before the last of the marks ``= : " ' ( < [ {``), and a context: what was cut off before
+the value, and unless that has a letter, the last word left of it, with the marks between.
+
+Bootstrapping, in rounds. (1) The contexts of at least ``least_seeds`` different seeds are patterns.
+(2) Patterns of which seeds are at least ``least_share`` of all occurrences are followed: whatever
+else stands in such a context is a candidate, whatever its characters. (3) Patterns, and shapes (kinds
+of characters, length) of seeds and candidates, form a graph with the values. A pattern scores the mean
+score of its distinct values (shrunk towards 0 when they are few), a seed 1, a candidate the mean of its
+patterns, weighted by the logarithm of their size, until no score moves by ``MOVES``. (4) Candidates of a
+high score with a high-scoring pattern are found: they are of the kind that most of the pattern's seeds
+have. Every occurrence of a found value, in any context, is a span, and a seed of the next round. It ends
+when a round finds nothing, or after ``rounds``.
+
+Tokens are not shuffled but counted and filtered in the task that reads their text from a table in the
+shared folder, by a join with the keys of the contexts, which are broadcast only up to ``MOST_KEYS``. Sums by pattern are pre-aggregated, joins on a frequent pattern are
+salted.
 
 Nulls: a null text is empty, other columns may be null and keep their values; repeated rows have
-equal results (each counts once in distinct pairs); an empty table gives an empty result.
+equal results (each counts once in distinct pairs); ties between kinds go to the last in the alphabet;
+very long texts are read whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,11 +43,17 @@ MARK, OTHER = "\ue000", "\ue001"
 CARD = f"[0-9][0-9{MARK}]+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BYTE_PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9]?)"
-TOKEN = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{6,}+"
-#: Further seed entities: expressions that whole candidates match (a public key-id format, a 160-bit hex value).
+#: Stands for a seed, and for a character of the text that is equal to it.
+SEED, NO_SEED = "\ue002", "\ue003"
+#: Further seed entities: expressions of whole tokens (a public key-id format, a 160-bit hex value).
 SEEDS = {"secret": ("AKIA[A-Z0-9]{16}", "[0-9a-f]{40}")}
-#: Candidates of which a check of a base kind has decided that they are none.
-REFUTED = "^[0-9]{13,19}$"
+#: Values of which a check of a base kind has decided that they are none.
+REFUTED = r"^(?:[0-9]{13,19}|[0-9]+(?:\.[0-9]+){3})$"
+INSIDE = rf"\p{{L}}\p{{N}}{SEED}"
+#: Change of a score below which scoring ends, and most steps of scoring.
+MOVES, STEPS = 0.001, 12
+#: Most contexts that are broadcast (beyond that every token's context is made and joined), and most words that texts are searched for first.
+MOST_KEYS, FEW = 100_000, 50
 SPAN = "struct<kind:string,s:int,e:int>"
 SALT = 16
 
@@ -64,8 +79,9 @@ def _luhn(digits: str) -> str:
         (2 * cast(substr({digits}, -i, 1) as bigint)) div 10 + (2 * cast(substr({digits}, -i, 1) as bigint)) % 10)) % 10 = 0"""
 
 
-def scan(documents: DataFrame, text: str = "text") -> DataFrame:
-    """``documents`` with ``__base`` (base spans by kind, then start) and ``__cand`` (candidates: value, left, shape, s, e)."""
+def scan(documents: DataFrame, text: str = "text", seeds: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """``documents`` with ``__base`` (base spans by kind, then start), ``__more`` (matches of ``seeds``), ``__seeds``
+    (both, without overlaps, by start), their ``__values``, and ``__m`` (the text with one character for each seed)."""
     df = documents.withColumn("__t", F.coalesce(F.col(text).cast("string"), F.lit("")))
     # U+E000 joins digits in the card text; where a text has that character, U+E001 stands for it
     marked = f"regexp_replace(translate(__t, '{MARK}', '{OTHER}'), '(?<=[0-9])[ -](?=[0-9])', '{MARK}')"
@@ -79,60 +95,165 @@ def scan(documents: DataFrame, text: str = "text") -> DataFrame:
     }
     parts = [f"transform(filter({matches(column, regex, guard)}, x -> {check}), x -> named_struct('kind', '{kind}', 's', x.s, 'e', x.e))" for kind, (column, regex, guard, check) in kept.items()]
     df = df.withColumn("__base", F.expr(f"concat({', '.join(parts)})"))
-    found = matches("__t", TOKEN, "rlike(__t, '[0-9]')")
-    df = df.withColumn("__cand", F.expr(f"""transform({found}, x -> named_struct('value', x.m, 'left', {_left("substr(__t, greatest(x.s - 31, 1), least(x.s, 32))")}, 'shape', {_shape('x.m')}, 's', x.s, 'e', x.e))"""))
+    rules = SEEDS if seeds is None else seeds
+    edge = "[A-Za-z0-9_-]"
+    more = [f"transform({matches('__t', f'(?<!{edge})(?:{r})(?!{edge})', f"rlike(__t, '{_quoted(r)}')")}, x -> named_struct('kind', '{kind}', 's', x.s, 'e', x.e))" for kind, rs in rules.items() for r in rs]
+    none = f"cast(array() as array<{SPAN}>)"
+    df = df.withColumn("__more", F.expr(f"filter(concat({', '.join([none, *more])}), x -> not exists(__base, b -> b.s < x.e and x.s < b.e))"))
+    # of spans that overlap, the first (and longest) one is the seed's character
+    df = df.withColumn("__seeds", F.expr(f"""if(size(__base) + size(__more) = 0, {none}, aggregate(
+        array_sort(concat(__base, __more), (a, b) -> case when a.s <> b.s then a.s - b.s when a.e <> b.e then b.e - a.e when a.kind < b.kind then -1 when a.kind > b.kind then 1 else 0 end),
+        {none}, (a, x) -> if(size(a) > 0 and x.s < element_at(a, -1).e, a, array_append(a, x))))"""))
+    clean = f"translate(__t, '{SEED}', '{NO_SEED}')"
+    df = df.withColumn("__m", F.expr(f"""if(size(__seeds) = 0, {clean}, aggregate(__seeds, named_struct('at', 0, 'out', ''),
+        (a, x) -> named_struct('at', x.e, 'out', concat(a.out, substr({clean}, a.at + 1, x.s - a.at), '{SEED}')), a -> concat(a.out, substr({clean}, a.at + 1))))"""))
+    df = df.withColumn("__values", F.expr("transform(__seeds, x -> substr(__t, x.s + 1, x.e - x.s))"))
     return df.drop("__t", "__c")
 
 
-def _left(tail: str) -> str:
-    """The last word left of a candidate with the marks after it: letters in lower case, digits as 0, white space as one space."""
-    return f"regexp_extract(regexp_replace(regexp_replace(lower({tail}), '[0-9]', '0'), '\\\\s+', ' '), '[^ ]*[^ ]? ?[=:]? ?[\"(]?$', 0)"
+def _plain(text: str) -> str:
+    """Lower case, with 0 for every digit."""
+    return f"translate(lower({text}), '123456789', '000000000')"
 
 
 def _shape(value: str) -> str:
-    return f"concat(if(rlike({value}, '[a-z]'), 'a', ''), if(rlike({value}, '[A-Z]'), 'A', ''), '9', if(rlike({value}, '[_-]'), '-', ''), ':', char_length({value}))"
+    kinds = {"a": "[a-z]", "A": "[A-Z]", "9": "[0-9]", "-": "[_-]", ".": "[^A-Za-z0-9_-]"}
+    return f"concat({', '.join(f"if(rlike({value}, '{r}'), '{k}', '')" for k, r in kinds.items())}, ':', char_length({value}))"
 
 
-def bootstrap(scanned: DataFrame, row: str, rounds: int = 3, least_seeds: int = 5, pattern_score: float = 0.8, score: float = 0.7, seeds: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """Per row with discoveries: ``row`` and ``__more``, spans of candidates that are no seeds.
+#: Key of a context: the token before, or one key for all tokens with a mark inside.
+KEY = f"if(rlike(x, '{_quoted(f"[{INSIDE}][^{INSIDE}]+[{INSIDE}]")}'), '*', {_plain('b')})"
+SPLIT = "split({}, '\\\\s', -1)"
 
-    ``scanned`` must be stored (it is read several times) and have ``row``, unique, ``__base`` and ``__cand``.
-    """
-    seeds = SEEDS if seeds is None else seeds
-    by_shape = [F.when(F.col("c.value").rlike(f"^(?:{r})$"), F.lit(kind)) for kind, rs in seeds.items() for r in rs]
-    at = scanned.where(F.size("__cand") > 0).select(row, "__base", F.explode("__cand").alias("c"))
-    at = at.select(row, "c.value", "c.left", "c.shape", "c.s", "c.e", F.coalesce(F.expr("try_element_at(filter(__base, b -> b.s < c.e and c.s < b.e), 1).kind"), *by_shape).alias("seed"))
-    at = cut(at)
-    edges = at.select("value", "seed", F.explode(F.array(F.concat(F.lit("L:"), "left"), F.concat(F.lit("S:"), "shape"))).alias("pattern"))
-    edges = cut(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")).withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALT)).cast("int")))
-    kinds = edges.where("seed is not null").groupBy("pattern", "seed").agg(F.count(F.lit(1)).alias("n")).groupBy("pattern").agg(F.max_by("seed", F.struct("n", "seed")).alias("kind"), F.sum("n").alias("seeds"))
-    value_scores = None
-    for _ in range(rounds):
-        scored = edges.withColumn("v", F.when(F.col("seed").isNotNull(), 1.0).otherwise(0.0)) if value_scores is None else edges.join(value_scores, "value", "left").withColumn("v", F.when(F.col("seed").isNotNull(), 1.0).otherwise(F.coalesce("score", F.lit(0.0))))
+
+def tokens(stored: DataFrame, row: str) -> DataFrame:
+    """``row``, i (number of white space characters before it), and the token x with the two before it, b and a."""
+    parts = stored.select(row, F.expr(SPLIT.format("__m")).alias("p"))
+    return parts.select(row, F.explode(F.expr("transform(p, (x, i) -> named_struct('i', i, 'a', coalesce(get(p, i - 2), ''), 'b', coalesce(get(p, i - 1), ''), 'x', x))")).alias("t")).select(row, "t.*").where("x <> ''")
+
+
+def _holding(stored: DataFrame, words: list[str], digits: bool) -> DataFrame:
+    """The rows whose texts may have one of ``words``, if these are few; it only saves work. ``digits``: 0 stands for any digit."""
+    if len(words) > FEW or "" in words:
+        return stored
+    escaped = ["".join(c if c.isalnum() else "\\" + c for c in w) for w in words]
+    either = "|".join(w.replace("0", "[0-9]") if digits else w for w in escaped)
+    return stored.where(F.expr(f"rlike(__m, '{_quoted(f'(?iu)(?:{either})')}')"))
+
+
+def near(stored: DataFrame, row: str, contexts: DataFrame) -> DataFrame:
+    """Described tokens in ``contexts`` (context, key; stored)."""
+    bounded = [tuple(r) for r in contexts.select("context", "key").distinct().limit(MOST_KEYS + 1).collect()]
+    if len(bounded) > MOST_KEYS:  # no key is used, nothing is broadcast
+        return described(tokens(stored, row)).join(contexts.select("context").distinct(), "context", "left_semi")
+    wanted = F.broadcast(contexts.select("context").distinct())
+    keys = sorted({k for _, k in bounded})
+    own, glued = [k for k in keys if k != "*"], "*" in keys
+    found = []
+    if own:
+        # the column "none" (always empty) is read from a table, so that what is made with it stays behind the join
+        table = cut(stored.sparkSession.createDataFrame([(k, "") for k in own], "key string, none string"))
+        parts = _holding(stored, own, True).select(row, F.expr(SPLIT.format("__m")).alias("p"), F.expr(SPLIT.format(_plain("__m"))).alias("q"))
+        after = parts.select(row, "p", F.posexplode("q").alias("pos", "key")).join(F.broadcast(table), "key")
+        found.append(after.select(row, F.expr("pos + 1").alias("i"), F.expr("concat(none, coalesce(get(p, pos - 1), ''))").alias("a"), F.expr("concat(none, get(p, pos))").alias("b"), F.expr("concat(none, coalesce(get(p, pos + 1), ''))").alias("x")).where("x <> ''"))
+        if "" in own:  # nothing stands before a text's first token
+            found.append(parts.select(row, F.lit(0).alias("i"), F.lit("").alias("a"), F.lit("").alias("b"), F.expr("p[0]").alias("x")).where("x <> ''"))
+    if glued:
+        rest = tokens(stored, row).where(F.expr(KEY) == "*")
+        found.append(rest.where(~F.expr(_plain("b")).isin(own)) if own else rest)
+    both = found[0]
+    for f in found[1:]:
+        both = both.unionByName(f)
+    return described(both).join(wanted, "context", "left_semi")
+
+
+def described(found: DataFrame) -> DataFrame:
+    """Tokens with ``open`` (what is cut off before the value), ``value`` and ``context``."""
+    word = _quoted(f"[{INSIDE}]")
+    before = rf"""^(?:.*[=:"'(<\[{{])?[^{INSIDE}]*"""
+    simple = rf"""^[{INSIDE}][^=:"'(<\[{{]*+$"""  # most tokens: nothing is cut off before the value
+    df = found.withColumn("open", F.expr(f"if(rlike(x, '{_quoted(simple)}'), '', regexp_extract(regexp_replace(x, '[^{_quoted(INSIDE)}]+$', ''), '{_quoted(before)}', 0))"))
+    left = f"case when open <> '' and rlike(open, '{word}') then open when rlike(b, '{word}') then concat(b, ' ', open) else concat(a, ' ', b, ' ', open) end"
+    df = df.withColumn("context", F.expr(_plain(left)))
+    return df.withColumn("value", F.expr(f"regexp_replace(substr(x, char_length(open) + 1), '[^{_quoted(INSIDE)}]+$', '')"))
+
+
+def _score(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Scores of patterns (pattern, n, p) and values (value, score), from edges (pattern, value, seed, salt), until they stay."""
+    values = None
+    weight = F.when(F.col("pattern").startswith("L:"), F.log2(F.coalesce("n", F.lit(1)) + 1)).otherwise(1.0)
+    for _ in range(STEPS):
+        v = F.when(F.col("seed").isNotNull(), 1.0).otherwise(0.0 if values is None else F.coalesce("score", F.lit(0.0)))
+        scored = (edges if values is None else edges.join(values, "value", "left")).withColumn("v", v)
         # sums in whole millionths do not depend on their order
-        patterns = scored.groupBy("pattern").agg(F.sum(F.rint(F.col("v") * 1e6).cast("long")).alias("t"), F.count(F.lit(1)).alias("n")).select("pattern", "n", (F.col("t") / 1e6 / (F.col("n") + 2)).alias("p")).where("p > 0")
+        patterns = cut(scored.groupBy("pattern").agg(F.sum(F.rint(F.col("v") * 1e6).cast("long")).alias("t"), F.count(F.lit(1)).alias("n")).select("pattern", "n", (F.col("t") / 1e6 / (F.col("n") + 2)).alias("p")))
         spread = patterns.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-        weight = F.when(F.col("pattern").startswith("L:"), F.log2(F.coalesce("n", F.lit(1)) + 1)).otherwise(1.0)
-        joined = edges.join(spread, ["pattern", "salt"], "left")
-        value_scores = cut(joined.groupBy("value").agg((F.sum(F.rint(F.coalesce(F.col("p") * weight, F.lit(0.0)) * 1e6).cast("long")) / F.sum(F.rint(weight * 1e6).cast("long"))).alias("score")))
-    good = patterns.where((F.col("p") >= pattern_score) & F.col("pattern").startswith("L:")).join(kinds.where(F.col("seeds") >= least_seeds), "pattern").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    new = edges.where(F.col("seed").isNull() & ~F.col("value").rlike(REFUTED)).join(good, ["pattern", "salt"]).groupBy("value").agg(F.max_by("kind", F.struct("p", "kind")).alias("kind"))
-    new = new.join(value_scores.where(F.col("score") >= score), "value").select("value", "kind")
-    spread = new.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    hits = at.where("seed is null").withColumn("salt", F.pmod(F.col(row), F.lit(SALT)).cast("int")).join(spread, ["value", "salt"])
-    return hits.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("kind", F.col("s").cast("int").alias("s"), F.col("e").cast("int").alias("e")))).alias("__more"))
-
-
-def all_spans(documents: DataFrame, text: str = "text", keep_text: bool = False, **parameters: object) -> DataFrame:
-    """``documents`` (without ``text``, unless it is kept) with ``__base`` and ``__more``."""
-    found = scan(documents.withColumn("__row", F.monotonically_increasing_id()), text)
+        now = edges.join(spread, ["pattern", "salt"]).groupBy("value").agg((F.sum(F.rint(F.col("p") * weight * 1e6).cast("long")) / F.sum(F.rint(weight * 1e6).cast("long"))).alias("score"))
+        was, values = values, cut(now)
+        if was is not None and values.join(was.withColumnRenamed("score", "was"), "value").where(F.abs(F.col("score") - F.col("was")) >= MOVES).isEmpty():
+            break
+    return patterns, values
+
+
+def bootstrap(stored: DataFrame, row: str, rounds: int = 3, least_seeds: int = 5, least_share: float = 0.2, pattern_score: float = 0.8, score: float = 0.7) -> DataFrame:
+    """Per row with discoveries: ``row`` and ``__new``, their spans.
+
+    ``stored`` is a table of :func:`scan`'s rows in the shared folder, with ``row``, unique.
+    """
+    none = f"cast(array() as array<{SPAN}>)"
+    some = stored.where(F.size("__seeds") > 0)
+    # the k-th seed's character of a text is the k-th seed
+    counted = some.select(row, F.expr("arrays_zip(__seeds, __values)").alias("z"), F.expr(f"split(__m, '\\\\s', -1)").alias("p"))
+    at = counted.select(row, "z", F.explode(F.expr(f"filter(transform(p, (x, i) -> named_struct('i', i, 'a', coalesce(get(p, i - 2), ''), 'b', coalesce(get(p, i - 1), ''), 'x', x, 'k', if(contains(x, '{SEED}'), char_length(regexp_replace(array_join(slice(p, 1, i), ''), '[^{SEED}]', '')), 0))), t -> contains(t.x, '{SEED}'))")).alias("t")).select(row, "z", "t.*")
+    known = described(at).where(F.expr(f"value = '{SEED}'")).select(F.expr("z[k].__seeds.kind").alias("seed"), F.expr("z[k].__values").alias("value"), "context", F.expr(KEY).alias("key"))
+    seeds = cut(known.groupBy("context", "key", "value").agg(F.max("seed").alias("seed"), F.count(F.lit(1)).alias("times")))
+    found = None
+    for _ in range(rounds):
+        patterns = cut(seeds.groupBy("context").agg(F.count_distinct("value").alias("seeds"), F.sum("times").alias("times")).where(F.col("seeds") >= least_seeds))
+        if patterns.isEmpty():
+            break
+        contexts = cut(seeds.join(patterns, "context", "left_semi").select("context", "key").distinct())
+        every = near(stored, row, contexts).groupBy("context").agg(F.count(F.lit(1)).alias("all"))
+        followed = cut(patterns.join(every, "context").where(F.col("times") >= F.col("all") * least_share).select("context"))
+        contexts = cut(contexts.join(followed, "context", "left_semi"))
+        if contexts.isEmpty():
+            break
+        others = near(stored, row, contexts).where(f"value <> '' and not contains(value, '{SEED}')").groupBy("context", "value").agg(F.lit(None).cast("string").alias("seed"))
+        graph = seeds.join(followed, "context", "left_semi").select("context", "value", "seed").unionByName(others).groupBy("context", "value").agg(F.max("seed").alias("seed"))
+        edges = graph.select(F.explode(F.array(F.concat(F.lit("L:"), "context"), F.concat(F.lit("S:"), F.expr(_shape("value"))))).alias("pattern"), "value", "seed")
+        edges = cut(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")).withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALT)).cast("int")))
+        scores, values = _score(edges)
+        kinds = edges.where("seed is not null").groupBy("pattern", "seed").agg(F.count(F.lit(1)).alias("n")).groupBy("pattern").agg(F.max_by("seed", F.struct("n", "seed")).alias("kind"), F.sum("n").alias("seeds"))
+        good = scores.where((F.col("p") >= pattern_score) & F.col("pattern").startswith("L:")).join(kinds.where(F.col("seeds") >= least_seeds), "pattern").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        new = edges.where(F.col("seed").isNull() & ~F.col("value").rlike(REFUTED)).join(good, ["pattern", "salt"]).groupBy("value").agg(F.max_by("kind", F.struct("p", "kind")).alias("kind"))
+        new = cut(new.join(values.where(F.col("score") >= score), "value").select("value", "kind"))
+        shortest = new.agg(F.min(F.char_length("value"))).first()[0]
+        if shortest is None:
+            break
+        # every occurrence of what was found: spans, and seeds of the next round
+        values = [r[0] for r in new.select("value").limit(FEW + 1).collect()]
+        long = tokens(_holding(stored, values, False), row).where((F.char_length("x") >= shortest) & ~F.contains("x", F.lit(SEED)))
+        hits = cut(described(long).join(new, "value").select(row, "i", F.char_length("open").alias("o"), "value", "kind", "context", F.expr(KEY).alias("key")))
+        found = hits if found is None else found.unionByName(hits)
+        seeds = cut(seeds.unionByName(hits.groupBy("context", "key", "value").agg(F.max("kind").alias("seed"), F.count(F.lit(1)).alias("times"))).groupBy("context", "key", "value").agg(F.max("seed").alias("seed"), F.max("times").alias("times")))
+    if found is None:
+        return stored.select(row, F.expr(none).alias("__new")).where("false")
+    # only texts with discoveries are read again
+    hits = found.groupBy(row, "i").agg(F.max(F.struct("kind", "value", "o")).alias("h"))
+    texts = stored.select(row, "__m", "__seeds").join(hits.select(row).distinct(), row, "left_semi")
+    place = "aggregate(slice(split(__m, '\\\\s', -1), 1, i), 0, (n, x) -> n + char_length(x) + 1) + h.o"
+    placed = texts.join(hits, row).withColumn("s", F.expr(f"aggregate(__seeds, {place}, (n, x) -> if(x.s < n, n + x.e - x.s - 1, n))"))
+    span = F.struct(F.col("h.kind").alias("kind"), F.col("s").cast("int").alias("s"), (F.col("s") + F.char_length("h.value")).cast("int").alias("e"))
+    return placed.groupBy(row).agg(F.array_sort(F.collect_list(span)).alias("__new"))
+
+
+def all_spans(documents: DataFrame, text: str = "text", keep_text: bool = False, seeds: dict[str, tuple[str, ...]] | None = None, **parameters: object) -> DataFrame:
+    """``documents`` (without ``text``, unless it is kept) with ``__base`` and ``__more`` (further seeds and discoveries)."""
+    found = scan(documents.withColumn("__row", F.monotonically_increasing_id()), text, seeds)
     stored = written(found if keep_text else found.drop(text), "pii")
-    more = bootstrap(stored, "__row", **parameters)  # type: ignore[arg-type]
-    none = F.expr(f"cast(array() as array<{SPAN}>)")
-    # only rows with candidates take part in the join
-    with_cand = stored.where(F.size("__cand") > 0).join(more, "__row", "left").withColumn("__more", F.coalesce("__more", none))
-    without = stored.where(F.size("__cand") == 0).withColumn("__more", none)
-    return without.unionByName(with_cand).drop("__cand", "__row")
+    new = bootstrap(stored, "__row", **parameters)  # type: ignore[arg-type]
+    out = stored.drop("__m", "__values", "__seeds").join(new, "__row", "left")
+    return out.withColumn("__more", F.expr("if(__new is null, __more, concat(__more, __new))")).drop("__new", "__row")
 
 
 def joined(spans: Column) -> Column:
