@@ -7,11 +7,14 @@ edge for every piece that is a substring, and one of byte pieces for every chara
 by side in no piece, the lattice splits; the parts repeat, and the forward pass is done once for each
 distinct part of a slice (kept in a bounded cache). Backward sampling draws, from the
 end of every part at once, the edge that ends there with its posterior probability; the random number
-is a hash of the seed, the row's key, and the part's and the step's number in the row. So results do
-not depend on partitions, batches or the cache, and executors that are lost change nothing.
+is a hash of the seed, the row's key, and the part's and the step's number in the row. Probabilities are
+whole numbers of ``1 / 2^BITS``, summed within a state alone, so results do not depend on partitions,
+batches or the cache, and executors that are lost change nothing.
 
 Nulls are empty texts and have no pieces; a null key draws as key 0; rows of one key and text have
-one segmentation; an empty table gives an empty result; other columns are not read.
+one segmentation; an empty table gives an empty result; other columns than those kept are not read. Keys
+are whole numbers (a text that is no number fails, as a cast does). A very long text is a slice of its own;
+where its script gives no place to split it, its part is one long lattice, whose states are linear in it.
 """
 
 from __future__ import annotations
@@ -30,12 +33,14 @@ from faultline.llm.shared import slices, tidy
 from faultline.llm.textvec import _powers, buffers, mix64
 
 _U64 = np.uint64
-#: Distinct parts that a sampler keeps.
-CACHE = 120_000
+#: Distinct parts that a sampler keeps, and edges (16 bytes each).
+CACHE, EDGES = 120_000, 4_000_000
 #: Parts of one forward pass.
 PASS = 12_000
 #: Log-probability of a character as bytes.
 BYTE_SCORE = -20.0
+#: Bits of a probability; a state's number stands above them.
+BITS = 40
 
 
 class Sampler:
@@ -88,10 +93,22 @@ class Sampler:
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
         #: First and last state of each part; by edge, in the order of the states where they end: state
-        #: + cumulative probability, state before, and the piece (a character's bytes: minus its code point, minus 1).
-        self.first, self.last = np.zeros(0, np.int32), np.zeros(0, np.int32)
-        self.cum, self.before, self.id = np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int32)
-        self.states = 0
+        #: and cumulative probability, state before, and the piece (a character's bytes: minus its code point, minus 1).
+        self._first, self._last = np.zeros(1 << 12, np.int32), np.zeros(1 << 12, np.int32)
+        self._cum, self._before, self._id = np.zeros(1 << 16, _U64), np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
+        self.parts = self.edges = self.states = 0
+
+    def _append(self, names: tuple[str, ...], used: int, values: tuple[np.ndarray, ...]) -> int:
+        """Write values behind the used places of equally long arrays, which double when they are full."""
+        end = used + len(values[0])
+        for name, value in zip(names, values, strict=True):
+            held = getattr(self, name)
+            if end > len(held):
+                more = np.zeros(max(end, 2 * len(held)), held.dtype)
+                more[:used] = held[:used]
+                setattr(self, name, held := more)
+            held[used:end] = value
+        return end
 
     @staticmethod
     def _sums(chars: np.ndarray) -> np.ndarray:
@@ -148,22 +165,20 @@ class Sampler:
             value = alpha[before[e]] + score[e]
             top = np.maximum.reduceat(value, new)
             alpha[s[new]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, np.diff(np.append(new, len(e))))), new))
-        run = np.cumsum(np.exp(alpha[before] + score - alpha[state]))
+        whole = np.floor(np.exp(alpha[before] + score - alpha[state]) * (1 << BITS)).astype(_U64)
         new = np.flatnonzero(np.concatenate([[True], state[1:] != state[:-1]]))
-        cum = np.minimum(run - np.repeat(np.concatenate([[0], run])[new], np.diff(np.append(new, len(state)))), 1.0)
-        cum[np.append(new[1:], len(state)) - 1] = 1.0
+        run = np.cumsum(whole, dtype=_U64)  # whole numbers: what other states add goes away exactly
+        cum = np.minimum(run - np.repeat((run - whole)[new], np.diff(np.append(new, len(state)))), _U64(1 << BITS))
+        cum[np.append(new[1:], len(state)) - 1] = 1 << BITS
         shift = self.states
-        self.cum = np.concatenate([self.cum, state + shift + cum])
-        self.before = np.concatenate([self.before, (before + shift).astype(np.int32)])
-        self.id = np.concatenate([self.id, ids])
+        self.edges = self._append(("_cum", "_before", "_id"), self.edges, ((state + shift).astype(_U64) * _U64(1 << BITS) + cum, before + shift, ids))
         first = begin + np.arange(len(parts)) + shift
-        self.first = np.concatenate([self.first, first.astype(np.int32)])
-        self.last = np.concatenate([self.last, (first + size).astype(np.int32)])
+        self.parts = self._append(("_first", "_last"), self.parts, (first, first + size))
         self.states += len(alpha)
 
     def _expanded(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of edges, one after the other, and how many each has."""
-        ids = self.id[edges]
+        ids = self._id[edges]
         if not len(ids) or ids.min() >= 0:
             return ids, np.ones(len(ids), np.int64)
         points, which = np.unique(ids, return_inverse=True)
@@ -174,7 +189,7 @@ class Sampler:
         return pool[np.repeat((np.cumsum(size) - size)[which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
 
     def _codes(self, parts: list[str]) -> np.ndarray:
-        if len(self.known) + len(parts) > CACHE:
+        if len(self.known) + len(parts) > CACHE or self.edges > EDGES:
             self._clear()
         new = [p for p in parts if p not in self.known]
         if new:
@@ -201,15 +216,16 @@ class Sampler:
         row = np.searchsorted(off, start, side="right") - 1
         nth = np.arange(len(start)) - np.searchsorted(row, row)
         base = mix64(mix64(keys.astype(np.int64).view(_U64) + _U64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1))[row] + nth.astype(_U64) * _U64(0xD1342543DE82EF95))
-        who, state, stop = np.arange(len(start)), self.last[code].astype(np.int64), self.first[code]
+        cum, before = self._cum[: self.edges], self._before
+        who, state, stop = np.arange(len(start)), self._last[code].astype(np.int64), self._first[code]
         chosen, owner = [], []
         step = 0
         while len(who):
-            u = (mix64(base[who] + _U64(step + 1)) >> _U64(11)).astype(np.float64) / (1 << 53)
-            edge = np.searchsorted(self.cum, state + u, side="right")
+            u = mix64(base[who] + _U64(step + 1)) >> _U64(64 - BITS)
+            edge = np.searchsorted(cum, state.astype(_U64) * _U64(1 << BITS) + u, side="right")
             chosen.append(edge)
             owner.append(who)
-            state = self.before[edge].astype(np.int64)
+            state = before[edge].astype(np.int64)
             on = state > stop
             who, state, stop = who[on], state[on], stop[on]
             step += 1

@@ -66,7 +66,7 @@ def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), seed=7, ids=False)
+    return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), seed=7)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary folder is set.
+    Only where the session names none and runs on one machine (tests) a temporary folder is set.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
@@ -21,6 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
         had = jsc.getCheckpointDir()
         if had.isDefined():
             return had.get()
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="faultline-")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(found)

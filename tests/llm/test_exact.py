@@ -255,6 +255,23 @@ def test_pieces(docs, empty):
     assert pieces.encode(empty, model).count() == 0
 
 
+def test_pieces_do_not_depend_on_the_cache(monkeypatch):
+    import pyarrow as pa
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choices("abcdeéß漢字 ", k=rng.randint(1, 9))) for _ in range(60)) for _ in range(40)] + ["漢" * 3000, "x" * 4000]
+    keys = np.arange(len(texts))
+    warm = pieces.Sampler(path)
+    warm.encode(pa.array(texts[::-1]), keys, 9)
+    ids, count = warm.encode(pa.array(texts), keys, 1)
+    for i in range(len(texts)):
+        one, _ = pieces.Sampler(path).encode(pa.array(texts[i : i + 1]), keys[i : i + 1], 1) if i % 9 == 0 else (ids[count[:i].sum() : count[: i + 1].sum()], 0)
+        assert one.tolist() == ids[count[:i].sum() : count[: i + 1].sum()].tolist()
+    monkeypatch.setattr(pieces, "CACHE", 50)
+    assert pieces.Sampler(path).encode(pa.array(texts), keys, 1)[0].tolist() == ids.tolist()
+
+
 def test_piece_distribution():
     import pyarrow as pa
 
