@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir), works on all rows that the stage before it kept, and returns a
 DataFrame; its rows are written as Parquet and reread as the next stage's ``docs``. All but the last
 return the columns of ``documents``.
+
+A null or empty text is kept by the filters (it is neither toxic nor contaminated, and all such texts are
+one class); null keys, languages and sources are kept as they are; rows that repeat are copies, of which
+one stays; columns other than those of ``documents`` are not passed on; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -26,13 +30,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the row of the least doc_id stays."""
-    stay = minhash.classes(docs.select("doc_id", "text")).where("first").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]), "left_semi")
-    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    # rows that repeat with their doc_id are copies of one another
-    return kept.withColumn("__hash", F.xxhash64("text")).dropDuplicates(["doc_id", "__hash"]).drop("__hash")
+    """Of each class of near copies the row of the least doc_id stays (of rows that share it, one)."""
+    return minhash.representatives(docs.select(*COLUMNS))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
