@@ -50,6 +50,8 @@ SEEDS = {"secret": ("AKIA[A-Z0-9]{16}", "[0-9a-f]{40}")}
 #: Values of which a check of a base kind has decided that they are none.
 REFUTED = r"^(?:[0-9]{13,19}|[0-9]+(?:\.[0-9]+){3})$"
 INSIDE = rf"\p{{L}}\p{{N}}{SEED}"
+#: Marks that end what is cut off before a value.
+MARKS = r"""[=:"'(<\[{]"""
 #: Change of a score below which scoring ends, and most steps of scoring.
 MOVES, STEPS = 0.001, 12
 #: Most contexts that are broadcast (beyond that every token's context is made and joined), and most words that texts are searched for first.
@@ -113,7 +115,7 @@ def scan(documents: DataFrame, text: str = "text", seeds: dict[str, tuple[str, .
 
 def _plain(text: str) -> str:
     """Lower case, with 0 for every digit."""
-    return f"translate(lower({text}), '123456789', '000000000')"
+    return f"regexp_replace(lower({text}), '[1-9]', '0')"
 
 
 def _shape(value: str) -> str:
@@ -141,8 +143,8 @@ def _holding(stored: DataFrame, words: list[str], digits: bool) -> DataFrame:
     return stored.where(F.expr(f"rlike(__m, '{_quoted(f'(?iu)(?:{either})')}')"))
 
 
-def near(stored: DataFrame, row: str, contexts: DataFrame) -> DataFrame:
-    """Described tokens in ``contexts`` (context, key; stored)."""
+def near(stored: DataFrame, row: str, contexts: DataFrame, values: bool) -> DataFrame:
+    """Tokens in ``contexts`` (context, key; stored): their context, and with ``values`` their description."""
     bounded = [tuple(r) for r in contexts.select("context", "key").distinct().limit(MOST_KEYS + 1).collect()]
     if len(bounded) > MOST_KEYS:  # no key is used, nothing is broadcast
         return described(tokens(stored, row)).join(contexts.select("context").distinct(), "context", "left_semi")
@@ -151,31 +153,43 @@ def near(stored: DataFrame, row: str, contexts: DataFrame) -> DataFrame:
     own, glued = [k for k in keys if k != "*"], "*" in keys
     found = []
     if own:
-        # the column "none" (always empty) is read from a table, so that what is made with it stays behind the join
-        table = cut(stored.sparkSession.createDataFrame([(k, "") for k in own], "key string, none string"))
-        parts = _holding(stored, own, True).select(row, F.expr(SPLIT.format("__m")).alias("p"), F.expr(SPLIT.format(_plain("__m"))).alias("q"))
+        # what is read from this table ("none" is always empty) keeps costly expressions behind the join
+        table = cut(stored.sparkSession.createDataFrame([(k, "", any(c.isalnum() or c == SEED for c in k), k + " ") for k in own], "key string, none string, wordy boolean, after string"))
+        plain = F.expr(SPLIT.format(_plain("__m"))).alias("q")
+        # contexts are lower case, so where values are not asked for, the plain text is enough
+        parts = _holding(stored, own, True).select(row, plain, (F.expr(SPLIT.format("__m")) if values else plain).alias("p"))
         after = parts.select(row, "p", F.posexplode("q").alias("pos", "key")).join(F.broadcast(table), "key")
-        found.append(after.select(row, F.expr("pos + 1").alias("i"), F.expr("concat(none, coalesce(get(p, pos - 1), ''))").alias("a"), F.expr("concat(none, get(p, pos))").alias("b"), F.expr("concat(none, coalesce(get(p, pos + 1), ''))").alias("x")).where("x <> ''"))
+        taken = after.select(row, F.expr("pos + 1").alias("i"), *(F.expr(f"concat(none, coalesce(get(p, pos + {k}), ''))").alias(c) for c, k in (("a", -1), ("b", 0), ("x", 1))), "wordy", "after").where("x <> ''")
+        # most tokens begin with a letter, hold no mark, and stand after a word
+        cheap = F.col("wordy") & F.expr("(ascii(x) between 48 and 57 or ascii(x) between 65 and 90 or ascii(x) between 97 and 122)") & ~F.expr(f"rlike(x, '{_quoted(MARKS)}')")
+        found.append(described(taken, F.when(cheap, F.col("after"))))
         if "" in own:  # nothing stands before a text's first token
-            found.append(parts.select(row, F.lit(0).alias("i"), F.lit("").alias("a"), F.lit("").alias("b"), F.expr("p[0]").alias("x")).where("x <> ''"))
+            found.append(described(parts.select(row, F.lit(0).alias("i"), F.lit("").alias("a"), F.lit("").alias("b"), F.expr("p[0]").alias("x")).where("x <> ''")))
     if glued:
         rest = tokens(stored, row).where(F.expr(KEY) == "*")
-        found.append(rest.where(~F.expr(_plain("b")).isin(own)) if own else rest)
-    both = found[0]
+        found.append(described(rest.where(~F.expr(_plain("b")).isin(own)) if own else rest))
+    columns = [row, "i", "b", "x", "open", "value", "context"] if values else ["context"]
+    both = found[0].select(*columns)
     for f in found[1:]:
-        both = both.unionByName(f)
-    return described(both).join(wanted, "context", "left_semi")
+        both = both.unionByName(f.select(*columns))
+    return both.join(wanted, "context", "left_semi")
 
 
-def described(found: DataFrame) -> DataFrame:
-    """Tokens with ``open`` (what is cut off before the value), ``value`` and ``context``."""
+def described(found: DataFrame, known: Column | None = None) -> DataFrame:
+    """Tokens with ``open`` (what is cut off before the value), ``value`` and ``context`` (``known``, where it is not null).
+
+    Lambda functions keep the generated code of a stage small: methods beyond 8000 bytes would not be compiled.
+    """
     word = _quoted(f"[{INSIDE}]")
-    before = rf"""^(?:.*[=:"'(<\[{{])?[^{INSIDE}]*"""
-    simple = rf"""^[{INSIDE}][^=:"'(<\[{{]*+$"""  # most tokens: nothing is cut off before the value
-    df = found.withColumn("open", F.expr(f"if(rlike(x, '{_quoted(simple)}'), '', regexp_extract(regexp_replace(x, '[^{_quoted(INSIDE)}]+$', ''), '{_quoted(before)}', 0))"))
-    left = f"case when open <> '' and rlike(open, '{word}') then open when rlike(b, '{word}') then concat(b, ' ', open) else concat(a, ' ', b, ' ', open) end"
-    df = df.withColumn("context", F.expr(_plain(left)))
-    return df.withColumn("value", F.expr(f"regexp_replace(substr(x, char_length(open) + 1), '[^{_quoted(INSIDE)}]+$', '')"))
+    before = rf"""^(?:.*{MARKS})?[^{INSIDE}]*"""
+    simple = rf"""^[{INSIDE}][^{MARKS[1:]}*+$"""  # most tokens: nothing is cut off before the value
+    strip = f"'[^{_quoted(INSIDE)}]+$', ''"
+    opening = f"if(rlike(x, '{_quoted(simple)}'), '', regexp_extract(regexp_replace(x, {strip}), '{_quoted(before)}', 0))"
+    context = _plain(f"case when o <> '' and rlike(o, '{word}') then o when rlike(b, '{word}') then concat(b, ' ', o) else concat(a, ' ', b, ' ', o) end")
+    context = F.coalesce(F.expr(f"transform(array({opening}), o -> {context})[0]"), F.lit(""))
+    df = found.withColumn("context", context if known is None else F.coalesce(known, context))
+    df = df.withColumn("open", F.coalesce(F.expr(f"transform(array(x), x -> {opening})[0]"), F.lit("")))
+    return df.withColumn("value", F.expr(f"regexp_replace(substr(x, char_length(open) + 1), {strip})"))
 
 
 def _score(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -213,12 +227,12 @@ def bootstrap(stored: DataFrame, row: str, rounds: int = 3, least_seeds: int = 5
         if patterns.isEmpty():
             break
         contexts = cut(seeds.join(patterns, "context", "left_semi").select("context", "key").distinct())
-        every = near(stored, row, contexts).groupBy("context").agg(F.count(F.lit(1)).alias("all"))
+        every = near(stored, row, contexts, False).groupBy("context").agg(F.count(F.lit(1)).alias("all"))
         followed = cut(patterns.join(every, "context").where(F.col("times") >= F.col("all") * least_share).select("context"))
         contexts = cut(contexts.join(followed, "context", "left_semi"))
         if contexts.isEmpty():
             break
-        others = near(stored, row, contexts).where(f"value <> '' and not contains(value, '{SEED}')").groupBy("context", "value").agg(F.lit(None).cast("string").alias("seed"))
+        others = cut(near(stored, row, contexts, True).select("context", "value")).where(f"value <> '' and not contains(value, '{SEED}')").groupBy("context", "value").agg(F.lit(None).cast("string").alias("seed"))
         graph = seeds.join(followed, "context", "left_semi").select("context", "value", "seed").unionByName(others).groupBy("context", "value").agg(F.max("seed").alias("seed"))
         edges = graph.select(F.explode(F.array(F.concat(F.lit("L:"), "context"), F.concat(F.lit("S:"), F.expr(_shape("value"))))).alias("pattern"), "value", "seed")
         edges = cut(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")).withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALT)).cast("int")))
@@ -231,9 +245,9 @@ def bootstrap(stored: DataFrame, row: str, rounds: int = 3, least_seeds: int = 5
         if shortest is None:
             break
         # every occurrence of what was found: spans, and seeds of the next round
-        values = [r[0] for r in new.select("value").limit(FEW + 1).collect()]
-        long = tokens(_holding(stored, values, False), row).where((F.char_length("x") >= shortest) & ~F.contains("x", F.lit(SEED)))
-        hits = cut(described(long).join(new, "value").select(row, "i", F.char_length("open").alias("o"), "value", "kind", "context", F.expr(KEY).alias("key")))
+        names = [r[0] for r in new.select("value").limit(MOST_KEYS + 1).collect()]
+        long = tokens(_holding(stored, names, False), row).where((F.char_length("x") >= shortest) & ~F.contains("x", F.lit(SEED)))
+        hits = cut(described(long).join(F.broadcast(new) if len(names) <= MOST_KEYS else new, "value").select(row, "i", F.char_length("open").alias("o"), "value", "kind", "context", F.expr(KEY).alias("key")))
         found = hits if found is None else found.unionByName(hits)
         seeds = cut(seeds.unionByName(hits.groupBy("context", "key", "value").agg(F.max("kind").alias("seed"), F.count(F.lit(1)).alias("times"))).groupBy("context", "key", "value").agg(F.max("seed").alias("seed"), F.max("times").alias("times")))
     if found is None:
