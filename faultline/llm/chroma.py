@@ -6,14 +6,18 @@ of two sets of rectangles, read from an integral image, as the logarithm of thei
 thresholds make two Gray-coded bits of it, and the sixteen pairs are packed into one integer. A
 recording's fingerprint is one integer for each window.
 
-Search: the queries' integers, shortened to ``KEY_BITS``, are an inverted index. A recording's
-integers look up (query, place); a histogram over place differences gives each query's best offsets,
-and the share of differing bits over the overlap there decides. Queries are sent in blocks of fixed
-size, so nothing that grows with the data is broadcast, and every recording meets every query.
+Search: recordings of equal fingerprints are one class, and classes meet classes; each row then gets the
+matches of its class. The queries' integers, shortened to ``KEY_BITS``, are an inverted index. A
+recording's integers look up (query, place); a histogram over place differences gives the offsets, and
+wherever the overlap is long enough the share of differing bits there decides. All offsets with a vote are
+tried. Queries stand in block files of about ``BLOCK`` classes in the shared folder; a task reads one after
+the other for a group of its recordings, so nothing goes through the driver or is broadcast, and every
+class meets every query.
 
 Null or unreadable audio, and audio shorter than a window, has an empty fingerprint and matches
 nothing; repeated rows each get their own result; a null key is no query; an empty table gives an
-empty result; other columns are not read.
+empty result; other columns are not read. Keys are whole numbers (a text that is no number fails, as a cast
+does). A long recording is a row of its own in the search; equal ones are searched once.
 """
 
 from __future__ import annotations
@@ -27,16 +31,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.shared import tidy, written
+from faultline.llm.shared import fresh_dir, tidy, written
 
 FRAME, HOP, SPAN = 1024, 256, 12
 KEY_BITS = 16
-#: Queries of a block.
-BLOCK = 4096
+#: Classes of queries in a block, recordings that meet the blocks together, and look-ups of one step.
+BLOCK, GROUP, STEP = 4096, 8192, 1 << 22
 MOST_BER = 0.28
 LEAST_OVERLAP = 24
-#: Offsets, by votes, of which the bit errors are counted.
-OFFSETS = 3
 
 
 def _filters() -> list[tuple[int, int, int, int, int]]:
@@ -148,103 +150,133 @@ def fingerprints(media: DataFrame, key: str, audio: str, decode: Callable[[objec
 
 
 class Index:
-    """Inverted index of a block of queries."""
+    """Inverted index of a block of queries: their numbers (any), and their fingerprints one after the other."""
 
-    def __init__(self, queries: list[tuple[int, list[int]]]):
-        self.keys = [k for k, _ in queries]
-        size = np.fromiter((len(p) for _, p in queries), np.int64, len(queries))
-        self.pool = np.array([i for _, p in queries for i in p], np.uint32)
+    def __init__(self, keys: np.ndarray, pool: np.ndarray, size: np.ndarray):
+        self.keys, self.pool = keys, pool.astype(np.uint32)
         self.begin, self.size = np.cumsum(size) - size, size
-        query, place = np.repeat(np.arange(len(queries)), size), np.arange(len(self.pool)) - np.repeat(self.begin, size)
+        query, place = np.repeat(np.arange(len(keys)), size), np.arange(len(self.pool)) - np.repeat(self.begin, size)
         code = self.pool >> np.uint32(32 - KEY_BITS)
         order = np.argsort(code, kind="stable")
         self.code, self.query, self.place = code[order], query[order], place[order]
 
     def search(self, pool: np.ndarray, begin: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
         """(row, query, offset, votes, share of differing bits) of the rows' matches; a row's place + offset is the query's."""
-        row = np.repeat(np.arange(len(size)), size)
-        place = np.arange(len(pool)) - np.repeat(begin, size)
         code = pool >> np.uint32(32 - KEY_BITS)
         lo, hi = np.searchsorted(self.code, code, "left"), np.searchsorted(self.code, code, "right")
-        n = hi - lo
-        if not n.sum():
-            return
-        hit = np.repeat(lo, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        n = np.concatenate([[0], np.cumsum(hi - lo)])
+        of = n[begin + size] - n[begin] if len(pool) else np.zeros(len(size), np.int64)
+        ends = np.cumsum(of)
+        first = 0
+        while first < len(size):  # rows of at most STEP look-ups, or one row
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + STEP, side="right")))
+            if ends[last - 1] > (ends[first - 1] if first else 0):
+                yield from self._some(pool, begin, size, lo, hi, first, last)
+            first = last
+
+    def _some(self, pool: np.ndarray, begin: np.ndarray, size: np.ndarray, lo: np.ndarray, hi: np.ndarray, first: int, last: int) -> Iterator[tuple[int, int, int, int, float]]:
+        a, b = begin[first], begin[last - 1] + size[last - 1]
+        row = np.repeat(np.arange(first, last), size[first:last])
+        place = np.arange(a, b) - begin[row]
+        n = (hi - lo)[a:b]
+        hit = np.repeat(lo[a:b], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         r, q, offset = np.repeat(row, n), self.query[hit], self.place[hit] - np.repeat(place, n)
+        del hit
         (r, q, offset), votes = self._histogram(r, q, offset)
-        order = np.lexsort((offset, -votes, q, r))
-        r, q, offset, votes = r[order], q[order], offset[order], votes[order]
-        new = np.concatenate([[True], (r[1:] != r[:-1]) | (q[1:] != q[:-1])])
-        nth = np.arange(len(r)) - np.maximum.accumulate(np.where(new, np.arange(len(r)), 0))
-        some = np.flatnonzero(nth < OFFSETS)
-        r, q, offset, votes = r[some], q[some], offset[some], votes[some]
-        a = np.maximum(0, -offset)
-        overlap = np.minimum(size[r] - a, self.size[q] - (a + offset))
+        skip = np.maximum(0, -offset)
+        overlap = np.minimum(size[r] - skip, self.size[q] - (skip + offset))
         ok = np.flatnonzero(overlap >= np.minimum(LEAST_OVERLAP, np.minimum(size[r], self.size[q])))
-        r, q, offset, votes, a, overlap = (x[ok] for x in (r, q, offset, votes, a, overlap))
-        if not len(r):
-            return
-        inner = np.arange(int(overlap.sum())) - np.repeat(np.cumsum(overlap) - overlap, overlap)
-        left, right = pool[np.repeat(begin[r] + a, overlap) + inner], self.pool[np.repeat(self.begin[q] + a + offset, overlap) + inner]
-        wrong = np.add.reduceat(np.bitwise_count(left ^ right).astype(np.int64), np.cumsum(overlap) - overlap) / (32 * overlap)
+        r, q, offset, votes, skip, overlap = (x[ok] for x in (r, q, offset, votes, skip, overlap))
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
-        for row_, query_, off_, v, e in zip(r.tolist(), q.tolist(), offset.tolist(), votes.tolist(), wrong.tolist(), strict=True):
-            if e <= MOST_BER and (row_, query_) not in best or (row_, query_) in best and e < best[row_, query_][0]:
-                best[row_, query_] = e, off_, v
+        ends = np.cumsum(overlap)
+        at = 0
+        while at < len(r):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + STEP, side="right")))
+            k = overlap[at:to]
+            inner = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
+            left = pool[np.repeat(begin[r[at:to]] + skip[at:to], k) + inner]
+            left ^= self.pool[np.repeat(self.begin[q[at:to]] + skip[at:to] + offset[at:to], k) + inner]
+            wrong = np.add.reduceat(np.bitwise_count(left).astype(np.int64), np.cumsum(k) - k) / (32 * k)
+            for i in np.flatnonzero(wrong <= MOST_BER).tolist():
+                pair, found = (int(r[at + i]), int(q[at + i])), (float(wrong[i]), int(offset[at + i]), int(votes[at + i]))
+                if pair not in best or found < best[pair]:
+                    best[pair] = found
+            at = to
         for (row_, query_), (e, off_, v) in best.items():
-            yield row_, self.keys[query_], off_, v, e
+            yield row_, query_, off_, v, e
 
     @staticmethod
     def _histogram(r: np.ndarray, q: np.ndarray, offset: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
-        span = int(np.abs(offset).max()) + 1
-        code = (r * (int(q.max()) + 1) + q) * (2 * span) + offset + span
-        code, votes = np.unique(code, return_counts=True)
+        span, n, low = int(np.abs(offset).max()) + 1, int(q.max()) + 1, int(r.min())
+        code, votes = np.unique(((r - low) * n + q) * (2 * span) + offset + span, return_counts=True)
         rest, offset = code // (2 * span), code % (2 * span) - span
-        n = int(q.max()) + 1
-        return (rest // n, rest % n, offset), votes
+        return (rest // n + low, rest % n, offset), votes
 
 
-MATCH = "array<struct<query:long,offset:int,votes:int,ber:double>>"
+_LAST: dict[str, Index] = {}
+
+
+def _index(path: str, block: int) -> Index | None:
+    """The index of a block file; a worker keeps the last one."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    name = f"{path}/block={block}"
+    if name not in _LAST:
+        system, at = fs.FileSystem.from_uri(name)
+        _LAST.clear()
+        if system.get_file_info(at).type == fs.FileType.NotFound:
+            return None
+        files = [f.path for f in system.get_file_info(fs.FileSelector(at)) if f.path.endswith(".parquet")]
+        read = pa.concat_tables([pq.ParquetFile(system.open_input_file(f)).read() for f in files]).combine_chunks()
+        lists = read.column("print").chunk(0)
+        _LAST[name] = Index(read.column("class").to_numpy(), lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64))
+    return _LAST[name]
+
+
+MATCH = "array<struct<query:long,n:long,offset:int,votes:int,ber:double>>"
 
 
 def search(prints: DataFrame, is_query: Column) -> DataFrame:
-    """Per row of ``prints`` (key, print; stored): key, length, is_query, and matches with the queries of other keys, by query."""
-    spark = prints.sparkSession
-
-    def against(index: Index) -> DataFrame:
-        sent = spark.sparkContext.broadcast(index)
-
-        def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for lo in range(0, batch.num_rows, 1024):
-                    part = batch.slice(lo, 1024)
-                    lists = part.column("print").fill_null([]) if part.column("print").null_count else part.column("print")
-                    size = lists.value_lengths().to_numpy().astype(np.int64)
-                    keys = part.column("key").to_pylist()
-                    found: list[list[dict]] = [[] for _ in keys]
-                    for row, query, offset, votes, ber in sent.value.search(lists.flatten().to_numpy().astype(np.uint32), np.cumsum(size) - size, size):
-                        if keys[row] != query:
-                            found[row].append({"query": query, "offset": offset, "votes": votes, "ber": round(ber, 6)})
-                    kind = pa.list_(pa.struct([("query", pa.int64()), ("offset", pa.int32()), ("votes", pa.int32()), ("ber", pa.float64())]))
-                    yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(size), part.column("is_query"), pa.array([sorted(x, key=lambda m: m["query"]) for x in found], kind)], names=["key", "length", "is_query", "matches"])
-
-        return prints.withColumn("is_query", F.coalesce(is_query, F.lit(False))).mapInArrow(tidy(apply), f"key long, length long, is_query boolean, matches {MATCH}")
-
-    block: list[tuple[int, list[int]]] = []
-    parts: list[DataFrame] = []
-    for r in prints.where(is_query & F.col("key").isNotNull()).select("key", "print").toLocalIterator():
-        block.append((r[0], r[1] or []))
-        if len(block) == BLOCK:
-            parts.append(against(Index(block)))
-            block = []
-    if block or not parts:
-        parts.append(against(Index(block)))
-    if len(parts) == 1:
-        return parts[0]
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    return both.groupBy("key").agg(F.max("length").alias("length"), F.max("is_query").alias("is_query"), F.array_sort(F.flatten(F.collect_list("matches"))).alias("matches"))
+    """Per row of ``prints`` (key, print; stored): key, length, is_query, matches and n_matches.
+
+    A match is a class of queries with equal fingerprints: its least key and number of rows, offset, votes
+    and share of differing bits. A row's own class is a match if it has another query than the row itself;
+    ``n_matches`` counts all query rows but the row itself.
+    """
+    rows = prints.select("key", F.coalesce("print", F.array().cast("array<bigint>")).alias("print"), (F.coalesce(is_query, F.lit(False)) & F.col("key").isNotNull()).alias("is_query"))
+    groups = rows.groupBy("print").agg(F.min(F.when(F.col("is_query"), F.col("key"))).alias("query"), F.count_if("is_query").alias("n"))
+    groups = written(groups.withColumn("class", F.monotonically_increasing_id()), "classes")
+    queries = groups.where("n > 0")
+    blocks = queries.count() // BLOCK + 1
+    path = fresh_dir(prints.sparkSession, "queries")
+    queries.select("class", "print", F.pmod(F.xxhash64("class"), F.lit(blocks)).alias("block")).repartition("block").write.partitionBy("block").parquet(path)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, GROUP):
+                part = batch.slice(at, GROUP)
+                lists = part.column("print")
+                pool, size = lists.flatten().to_numpy().astype(np.uint32), lists.value_lengths().to_numpy().astype(np.int64)
+                out: list[tuple] = []
+                for i in range(blocks):
+                    index = _index(path, i)
+                    if index is not None:
+                        out += [(row, index.keys[q], off, votes, ber) for row, q, off, votes, ber in index.search(pool, np.cumsum(size) - size, size)]
+                row, other, off, votes, ber = zip(*out, strict=True) if out else ([], [], [], [], [])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("class").take(pa.array(row, pa.int64())), pa.array(other, pa.int64()), pa.array(off, pa.int32()), pa.array(votes, pa.int32()), pa.array(np.round(ber, 6), pa.float64())], names=["class", "other", "offset", "votes", "ber"]
+                )
+
+    links = groups.where(F.size("print") > 0).select("class", "print").mapInArrow(tidy(apply), "class long, other long, offset int, votes int, ber double")
+    links = links.join(queries.select(F.col("class").alias("other"), "query", "n"), "other")
+    found = links.groupBy("class").agg(F.array_sort(F.collect_list(F.struct("query", "n", "offset", "votes", "ber"))).alias("matches"))
+    classed = groups.select("print", F.col("class"), F.col("query").alias("own"), F.col("n").alias("own_n")).join(found, "class", "left")
+    out = rows.join(classed, "print").withColumn("matches", F.coalesce("matches", F.array().cast(MATCH)))
+    # the class of the row itself is no match if the row is its only query
+    out = out.withColumn("matches", F.when(F.col("is_query") & (F.col("own_n") == 1), F.filter("matches", lambda m: m["query"] != F.col("own"))).otherwise(F.col("matches")))
+    total = F.aggregate("matches", F.lit(0).cast("long"), lambda a, m: a + m["n"])
+    return out.select("key", F.size("print").cast("long").alias("length"), "is_query", "matches", (total - F.when(F.col("is_query") & (F.col("own_n") > 1), 1).otherwise(0)).alias("n_matches"))
 
 
 RATE, NOTE = 4000, 256

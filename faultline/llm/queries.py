@@ -54,9 +54,11 @@ def op1_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chroma_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vector is the score of a recording (a tone for each number); queries: every id divisible by 100."""
+    """Every vector is the score of a recording (a tone for each number); queries: every id divisible by 100.
+
+    ``queries`` has the least id of each matched class of equal query recordings, ``n_matches`` counts all of them."""
     found = chroma.align(table(spark, sf_dir, "embeddings"), F.col("key") % 100 == 0, "vec_id", "embedding", chroma.tune)
-    return found.select(F.col("key").alias("vec_id"), "length", "is_query", F.size("matches").cast("long").alias("n_matches"), F.col("matches.query").alias("queries"), F.col("matches.offset").alias("offsets"), F.col("matches.ber").alias("bit_errors"))
+    return found.select(F.col("key").alias("vec_id"), "length", "is_query", "n_matches", F.col("matches.query").alias("queries"), F.col("matches.offset").alias("offsets"), F.col("matches.ber").alias("bit_errors"))
 
 
 def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:

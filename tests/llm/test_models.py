@@ -1,6 +1,7 @@
 """Near duplicates, toxicity, recordings and the pipeline, against brute force or held-out rows."""
 
 import collections
+import os
 import random
 import re
 
@@ -225,20 +226,52 @@ def test_recordings_align(spark):
     assert chroma.align(df.limit(0), F.col("key") % 100 == 0, "vec_id", "audio").count() == 0
 
 
-def test_recall_against_all_offsets():
-    rng = np.random.default_rng(5)
-    base = rng.normal(0, 0.125, (30, 64))
-    prints = np.stack([chroma.fingerprint(*chroma.tune((v + rng.normal(0, 0.015, 64)).tolist())) for v in base for _ in range(4)])
+def all_offsets(prints, queries):
+    """(row, query) pairs that are alike at some offset, by brute force."""
     n, length = prints.shape
-    index = chroma.Index([(i, prints[i].tolist()) for i in range(0, n, 4)])
-    got = {(r, q) for r, q, *_ in index.search(prints.ravel(), np.arange(n) * length, np.full(n, length))}
     want = set()
-    for q in range(0, n, 4):
+    for q in queries:
         for o in range(-(length - chroma.LEAST_OVERLAP), length - chroma.LEAST_OVERLAP + 1):
             a, m = max(0, -o), length - abs(o)
             ber = np.bitwise_count(prints[:, a : a + m] ^ prints[q, a + o : a + o + m]).sum(axis=1) / 32 / m
-            want |= {(r, q) for r in np.flatnonzero(ber <= chroma.MOST_BER)}
-    assert len(want) >= n and len(want & got) / len(want) >= 0.9 and got <= want
+            want |= {(r, q) for r in np.flatnonzero(ber <= chroma.MOST_BER).tolist()}
+    return want
+
+
+def found(prints, queries):
+    n, length = prints.shape
+    index = chroma.Index(np.array(queries), prints[queries].ravel(), np.full(len(queries), length))
+    return {(r, queries[q]) for r, q, *_ in index.search(prints.ravel(), np.arange(n) * length, np.full(n, length))}
+
+
+def test_recall_against_all_offsets():
+    rng = np.random.default_rng(5)
+    base = rng.normal(0, 0.125, (30, 64))
+    prints = np.stack([chroma.fingerprint(*chroma.tune((v + rng.normal(0, 0.015, 64)).tolist())) for v in base for _ in range(4)])
+    want, got = all_offsets(prints, range(0, 120, 4)), found(prints, list(range(0, 120, 4)))
+    assert got <= want and len(got) >= 0.9 * len(want)
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001/embeddings.parquet"), reason="no table")
+def test_recall_on_the_table_of_the_query(spark):
+    vectors = [r.embedding for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").orderBy("vec_id").limit(1000).collect()]
+    prints = np.stack([chroma.fingerprint(*chroma.tune(v)) for v in vectors])
+    want, got = all_offsets(prints, range(0, len(prints), 100)), found(prints, list(range(0, len(prints), 100)))
+    assert got <= want and len(got) >= 0.9 * len(want)
+
+
+def test_blocks_of_queries_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base = rng.normal(0, 0.125, (12, 40))
+    rows = [(i * 50, [float(x) for x in base[i % 12] + (0.01 * rng.normal(size=40) if i % 3 else 0)]) for i in range(40)]
+    rows += [(100, rows[2][1]), (None, rows[2][1]), (700, None), (701, [])] + [(1000 + i, [0.0] * 40) for i in range(6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    run = lambda: sorted((str(r) for r in chroma.align(df, F.col("key") % 100 == 0, "vec_id", "embedding", chroma.tune).collect()))
+    one = run()
+    assert len(one) == len(rows) and sum("query=" in r for r in one) > 20
+    monkeypatch.setattr(chroma, "BLOCK", 4)
+    monkeypatch.setattr(chroma, "STEP", 50)
+    assert run() == one
 
 
 def test_pipeline_keeps_and_drops(spark, tmp_path):
