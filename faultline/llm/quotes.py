@@ -10,12 +10,14 @@ the least level. Parents in the same conversation make threads; their roots come
 doubling. The order of a conversation is that of thread roots, then of turns, so a reply follows its
 parent, and texts are rid of quotes and of the line that introduces one.
 
-The index has one row a hash and quotes are salted, so a passage that everybody quotes is no hot
+The index has one row a hash, and of it only hashes that somebody quotes are joined; those quoted often are
+salted, so a passage that everybody quotes is no hot
 key; positions come from a global range sort, so nor is a very long conversation.
 
 Nulls: a null text is empty; rows of a null conversation or turn keep null as such (nulls are equal,
 and a null turn is before all others); repeated rows have equal results but for their position; an
-empty table gives an empty result; other columns than the four named are not read.
+empty table gives an empty result; other columns than the four named are not read. Conversations and turns
+are whole numbers (a text that is no number fails, as a cast does); a very long text is parsed whole.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from faultline.llm.shared import cut
 from faultline.llm.sharding import numbered
 
 SALT = 16
+#: Quotes of one hash from which on it is salted.
+OFTEN = 1000
 INTRODUCTION = "^.{0,200}(?:wrote|writes|schrieb|a écrit|escribió) ?:\\\\s*$"
 QUOTE = "^[ \\\\t]{0,3}>[> \\\\t]*"
 
@@ -57,11 +61,14 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: s
     each = f"transform(filter(transform(lines, l -> {_norm('l')}), n -> n <> ''), n -> named_struct('kind', 1, 'h', xxhash64(n)))"
     hashes = F.expr(f"if({whole} = '', cast(array() as array<struct<kind:int,h:bigint>>), array_union(array(named_struct('kind', 0, 'h', xxhash64({whole}))), {each}))")
     hashed = passages.withColumn("h", F.explode(hashes)).select("__id", "c", "t", "p", "level", "h.kind", "h.h")
-    own = hashed.where("level = 0")
-    inside = own.groupBy("c", "h").agg(F.min("t").alias("in_t"))
-    overall = own.groupBy("h").agg(F.min(F.struct("c", "t")).alias("o"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")
-    quoted = hashed.where("level > 0").withColumn("salt", F.pmod("__id", F.lit(SALT)).cast("int"))
+    quoted = cut(hashed.where("level > 0").withColumn("salt", F.pmod("__id", F.lit(SALT)).cast("int")))
+    # only hashes that somebody quotes are kept of the index, and only those that many quote are salted
+    asked = cut(quoted.groupBy("h").agg(F.when(F.count(F.lit(1)) > OFTEN, SALT).otherwise(1).alias("of")))
+    own = hashed.where("level = 0").join(asked, "h")
+    quoted = quoted.join(asked.withColumnRenamed("h", "a_h").where("of > 1").select("a_h", "of"), F.col("h") == F.col("a_h"), "left").withColumn("salt", F.when(F.col("of") > 1, F.col("salt")).otherwise(0)).drop("a_h", "of")
+    salts = F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("salt")
+    inside = own.groupBy("c", "h").agg(F.min("t").alias("in_t"), F.first("of").alias("of"))
+    overall = own.groupBy("h").agg(F.min(F.struct("c", "t")).alias("o"), F.first("of").alias("of"))
     inside, overall = inside.select(F.col("c").alias("in_c"), F.col("h").alias("in_h"), "in_t", salts), overall.select(F.col("h").alias("o_h"), "o", salts)
     found = quoted.join(inside, (quoted["c"].eqNullSafe(inside["in_c"])) & (quoted["h"] == inside["in_h"]) & (quoted["salt"] == inside["salt"]), "left").drop(inside["salt"])
     found = found.join(overall, (found["h"] == overall["o_h"]) & (found["salt"] == overall["salt"]), "left").drop(overall["salt"])
@@ -80,7 +87,7 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: s
     out = out.join(roots, out["c"].eqNullSafe(roots["r_c"]) & out["t"].eqNullSafe(roots["r_t"]), "left").drop("r_c", "r_t")
     out = out.withColumn("root_turn", F.coalesce("root_turn", "t"))
     ranked, _ = numbered(out, ["c", "root_turn", "t", "__id"])
-    first = ranked.groupBy("c").agg(F.min("row_number").alias("begin")).select(F.col("c").alias("f_c"), "begin", salts)
+    first = ranked.groupBy("c").agg(F.min("row_number").alias("begin")).select(F.col("c").alias("f_c"), "begin", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
     ranked = ranked.withColumn("salt", F.pmod("__id", F.lit(SALT)).cast("int"))
     out = ranked.join(first, ranked["c"].eqNullSafe(first["f_c"]) & (ranked["salt"] == first["salt"]))
     return out.select(F.col("c").alias(conv), F.col("t").alias(turn), *keep, "clean", "n_quotes", "max_level", "n_linked", "parent_conv", "parent_turn", "root_turn", (F.col("row_number") - F.col("begin")).alias("position"))
@@ -95,4 +102,4 @@ def _roots(up: DataFrame, rounds: int = 64) -> DataFrame:
         if step.where("over is not null").isEmpty():
             return up
         up = cut(step.select("c", "t", F.coalesce("over", "up").alias("up")))
-    return up
+    raise RuntimeError("chains of replies need more rounds")
