@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,9 +27,20 @@ def build(master: str | None = None, name: str = "faultline", **extra: str) -> S
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share; a local one only where the session names none."""
-    import tempfile
-
-    found = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="faultline-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(found)
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and context._jsc.sc().getCheckpointDir().isDefined():
+        return context._jsc.sc().getCheckpointDir().get()
+    if not found:
+        if not context.master.startswith("local") or "cluster" in context.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="faultline-")
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(found)
     return found
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once, in the shared folder: plans that use it several times do not repeat it, nor does a lost executor."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

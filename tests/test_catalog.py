@@ -1,3 +1,7 @@
+import collections
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,91 +11,158 @@ from faultline.operators import dedup, joins, windows
 SCHEMA = "source_event_id string, t_sec double, latitude double, longitude double, magnitude double, source string"
 
 
-def rows(spark, *values):
-    return spark.createDataFrame([(str(i + 1), *v) for i, v in enumerate(values)], SCHEMA)
-
-
-def heads(df):
-    return {r.source_event_id: r.cluster_id for r in dedup.clusters(df).collect()}
-
-
-def test_best_link_first(spark):
-    got = heads(rows(spark, (0.0, 36.9, 25.49, 4.4, "isc"), (20.0, 36.5, 25.49, 4.6, "usgs"), (20.0, 36.5, 25.49, 4.6, "isc"), (21.0, 36.52, 25.5, 4.5, "emsc")))
-    assert got["2"] == got["3"] == got["4"] != got["1"]
-
-
-def test_same_source_never_merges(spark):
-    got = heads(rows(spark, (0.0, 38.0, 37.0, 5.0, "isc"), (1.0, 38.0, 37.0, 5.0, "isc"), (2.0, 38.0, 37.0, 5.0, "usgs")))
-    assert got["1"] != got["2"] and got["3"] in (got["1"], got["2"])
-
-
-@pytest.mark.parametrize("other", [(31.0, 38.0, 37.0, 4.0, "isc"), (1.0, 40.0, 37.0, 4.0, "emsc"), (1.0, 38.0, 37.0, 5.6, "isc")])
-def test_limits(spark, other):
-    got = heads(rows(spark, (0.0, 38.0, 37.0, 4.0, "usgs"), other))
-    assert got["1"] != got["2"]
-
-
-def test_span(spark):
-    got = heads(rows(spark, (0.0, 38.0, 37.0, 5.0, "usgs"), (20.0, 38.0, 37.0, 5.0, "isc"), (40.0, 38.0, 37.0, 5.0, "emsc")))
-    assert len(set(got.values())) == 2 and got["1"] != got["3"]
-
-
-def test_scores(spark):
-    got = {(r.source_event_id_a, r.source_event_id_b): r.score for r in dedup.candidate_pairs(rows(spark, (0.0, 38.0, 37.0, 5.0, "usgs"), (1.0, 38.0, 37.0, 5.0, "isc"), (10.0, 38.3, 37.0, 5.0, "emsc"))).collect()}
-    assert set(got) == {("1", "2"), ("1", "3"), ("2", "3")} and got["1", "2"] > got["2", "3"] and all(0 <= s <= 1 for s in got.values())
-
-
-def test_partitions_do_not_matter(spark):
-    df = rows(spark, *((7.0 * i, 38 + i % 3 * 0.1, 37.0, 4 + i % 5 * 0.2, ("usgs", "isc", "emsc")[i % 3]) for i in range(60)))
-    assert heads(df) == heads(df.repartition(5, "magnitude"))
-
-
-def test_single_report_quality_and_composite_row(spark):
-    df = rows(spark, (0.0, 38.0, 37.0, 5.0, "usgs"), (1.0, 38.1, 37.0, 5.1, "isc"), (500.0, 38.0, 37.0, 4.0, "isc")).withColumn("depth_km", F.when(F.col("source") == "isc", 7.0))
+def kilometres(a, b):
+    x, y = math.radians(a[0]), math.radians(b[0])
+    h = math.sin((y - x) / 2) ** 2 + math.cos(x) * math.cos(y) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+    return 2 * 6371.0 * math.asin(math.sqrt(h))
+
+
+def random_catalog(seed, n=70):
+    """Reports in bursts, with agencies, times, places and magnitudes that are now and then just within or beyond a limit."""
+    rng, out, t = random.Random(seed), [], 0.0
+    for i in range(n):
+        t += rng.choice([0.0, 3.0, 11.0, 29.0, 31.0, 400.0])
+        out.append((f"r{i:03d}", t, 37.5 + rng.choice([0, 0.2, 0.45, 1.3]), 30.0 + rng.choice([0, 0.3, 0.9]), rng.choice([3.2, 3.9, 4.7, 5.1]), rng.choice(["usgs", "isc", "emsc"])))
+    return out
+
+
+def limit(magnitude):
+    return min(150.0, max(50.0, 50.0 + 10.0 * magnitude))
+
+
+def links(events):
+    """(score, earlier, later) of all pairs of reports of different agencies within the three limits."""
+    order = sorted(range(len(events)), key=lambda i: (events[i][1], events[i][5], events[i][0]))
+    out = {}
+    for n, i in enumerate(order):
+        for j in order[n + 1 :]:
+            a, b = events[i], events[j]
+            dt, km, dm, most = b[1] - a[1], kilometres(a[2:4], b[2:4]), abs(a[4] - b[4]), limit(max(a[4], b[4]))
+            if a[5] != b[5] and dt <= 30 and km <= most and dm <= 1.5:
+                out[i, j] = 0.4 * (1 - dt / 30) + 0.4 * (1 - km / most) + 0.2 * (1 - dm / 1.5)
+    return order, out
+
+
+def brute_clusters(events):
+    """Best links first; a cluster has one report an agency and lasts at most 30 s."""
+    order, pairs = links(events)
+    place = {i: n for n, i in enumerate(order)}
+    groups = {i: {i} for i in range(len(events))}
+    for (i, j), _ in sorted(pairs.items(), key=lambda x: (-round(x[1], 9), place[x[0][0]], place[x[0][1]])):
+        both = groups[i] | groups[j]
+        times = [events[k][1] for k in both]
+        if groups[i] is not groups[j] and len({events[k][5] for k in both}) == len(both) and max(times) - min(times) <= 30:
+            for k in both:
+                groups[k] = both
+    return {events[i][0]: frozenset(events[k][0] for k in g) for i, g in groups.items()}
+
+
+def members(df):
+    by = collections.defaultdict(set)
+    for r in df.collect():
+        by[r.cluster_id].add(r.source_event_id)
+    return {k: frozenset(v) for v in by.values() for k in v}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_clusters_of_random_catalogs(spark, seed):
+    events = random_catalog(seed)
+    df = spark.createDataFrame(events, SCHEMA)
+    order, pairs = links(events)
+    got = {(r.source_event_id_a, r.source_event_id_b): r.score for r in dedup.candidate_pairs(df).collect()}
+    assert got.keys() == {(events[i][0], events[j][0]) for i, j in pairs}
+    assert all(abs(got[events[i][0], events[j][0]] - s) < 1e-6 for (i, j), s in pairs.items())
+    if len({round(s, 9) for s in pairs.values()}) < len(pairs):  # tied scores: only what every order of ties keeps
+        for cluster in members(dedup.clusters(df)).values():
+            inside = [e for e in events if e[0] in cluster]
+            assert len({e[5] for e in inside}) == len(inside) and max(e[1] for e in inside) - min(e[1] for e in inside) <= 30
+    else:
+        assert members(dedup.clusters(df)) == brute_clusters(events)
+
+
+def test_clusters_without_ties(spark):
+    rng = random.Random(9)
+    events = [(k, t + rng.random() * 0.01, la + rng.random() * 0.01, lo, m, s) for k, t, la, lo, m, s in random_catalog(3, 90)]
+    df = spark.createDataFrame(events, SCHEMA)
+    want = brute_clusters(events)
+    assert members(dedup.clusters(df)) == want == members(dedup.clusters(df.repartition(5, "magnitude")))
+    assert any(len(c) == 3 for c in want.values())
+
+
+def test_catalog_of_clusters(spark):
+    """Quality, composite rows and the id map, against the clusters found."""
+    events = [(*e, float(i) if i % 3 else None) for i, e in enumerate(random_catalog(4, 50))]
+    df = spark.createDataFrame(events, SCHEMA + ", depth_km double")
     catalog, ids = dedup.deduplicate(df)
-    got = {r.source_event_id: r for r in catalog.collect()}
-    assert got["1"].reported_by == "isc,usgs" and got["1"].depth_km == 7.0 and got["1"].cluster_size == 2
-    assert (got["3"].dedup_confidence, got["3"].cluster_max_distance_km) == (1.0, 0.0)
-    assert {(r.source_event_id, r.representative_event_id) for r in ids.collect()} == {("1", "1"), ("2", "1"), ("3", "3")}
+    by = {e[0]: e for e in events}
+    first = lambda c: min(c, key=lambda k: (("usgs", "isc", "emsc").index(by[k][5]), by[k][1], k))
+    clusters = set(members(dedup.clusters(df)).values())
+    rows = {r.source_event_id: r for r in catalog.collect()}
+    assert rows.keys() == {first(c) for c in clusters}
+    for c in clusters:
+        r = rows[first(c)]
+        km = max((kilometres(by[a][2:4], by[b][2:4]) for a in c for b in c), default=0)
+        assert r.cluster_size == len(c) and r.reported_by == ",".join(sorted({by[k][5] for k in c})) and abs(r.cluster_max_distance_km - km) < 0.01
+        assert (r.dedup_confidence == 1.0) if len(c) == 1 else 0 <= r.dedup_confidence <= 1
+        depths = [by[k][6] for k in sorted(c, key=lambda k: (("usgs", "isc", "emsc").index(by[k][5]), by[k][1], k)) if by[k][6] is not None]
+        assert r.depth_km == (depths[0] if depths else None)
+    assert {r.source_event_id: r.representative_event_id for r in ids.collect()} == {k: first(c) for c in clusters for k in c}
 
 
 def test_distance(spark):
-    a = [F.lit(x) for x in (41.0082, 28.9784, 39.9334, 32.8597)]
-    assert spark.range(1).select(S.haversine_km(*a)).first()[0] == pytest.approx(349, rel=0.02)
-    assert spark.range(1).select(S.haversine_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(180.0))).first()[0] == pytest.approx(3.141592653589793 * 6371)
-
-
-def test_sessions(spark):
-    df = spark.createDataFrame([("c", 250.0), ("a", 0.0), ("b", 100.0), ("d", 1000.0)], "event_id string, t_sec double")
-    assert {r.event_id: r.window_group for r in windows.sessionize(df, "event_id", "t_sec").collect()} == {"a": "a", "b": "a", "c": "a", "d": "d"}
-    df = spark.createDataFrame([("a", 0.0), ("b", 210.0), ("c", 421.0), ("n", None)], "event_id string, t_sec double")
-    for bucket in (86400.0, 50.0):
-        assert {r.event_id: r.window_group for r in windows.sessionize(df, "event_id", "t_sec", bucket=bucket).collect()} == {"a": "a", "b": "a", "c": "c", "n": "n"}
-
-
-def test_context(spark):
-    c = spark.createDataFrame([("main", 0.0, 7.5), ("after", 71.0, 4.6), ("small", 131.0, 3.1), ("alone", 1e7, 5.0)], "event_id string, t_sec double, magnitude double")
-    f = c.where("event_id <> 'small'").select("event_id", "magnitude")
-    got = {r.event_id: (r.window_group, r.window_other_max_magnitude, r.label_ambiguous) for r in windows.window_context(f, c).collect()}
-    assert got == {"main": ("main", 4.6, False), "after": ("main", 7.5, True), "alone": ("alone", None, False)}
-
-
-def test_id_map(spark):
-    m = spark.createDataFrame([("usgs", "us1", "us1"), ("isc", "isc1", "us1"), ("emsc", "emsc1", "us1"), ("isc", "isc2", "isc2")], "source string, source_event_id string, representative_event_id string")
-    r = spark.createDataFrame([("isc1", "KHMN", 0.11), ("us1", "KHMN", 0.10), ("us1", "GAZ", 0.05), ("isc2", "KHMN", 0.02), ("zz", "GAZ", 0.5)], "event_id string, station string, pga_g double").withColumn("orig", F.col("event_id")).withColumn("n", F.monotonically_increasing_id())
-    out = joins.collapse_duplicates(joins.remap(r, joins.id_lookup(m, F.col("source"))), "orig", "n")
-    got = {(x.event_id, x.station): (x.orig, x.pga_g) for x in out.collect()}
-    assert len(got) == 4 and got["us1", "KHMN"] == ("us1", 0.10) and got["zz", "GAZ"] == ("zz", 0.5)
-
-
-def test_nearest(spark):
-    e = spark.createDataFrame([("ev1", 39.0, 35.0)], "event_id string, latitude double, longitude double")
-    s = spark.createDataFrame([("A", 39.1, 35.1, False), ("B", 39.2, 35.2, True), ("C", 40.5, 36.5, True)], "station string, latitude double, longitude double, has_strong_motion boolean")
-    flags = {"any": F.col("station").isNotNull(), "sm": F.col("has_strong_motion")}
-    r = joins.nearest(e, s, "station", flags).first()
-    assert (r.any, r.sm) == ("A", "B") and r.sm_distance_km > r.any_distance_km
-    r = joins.nearest(e, s.where("not has_strong_motion"), "station", flags).first()
-    assert (r.any, r.sm, r.sm_distance_km) == ("A", None, None)
+    rng = random.Random(1)
+    places = [(rng.uniform(-90, 90), rng.uniform(-180, 180), rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(50)] + [(0.0, 0.0, 0.0, 180.0), (12.0, 7.0, 12.0, 7.0)]
+    df = spark.createDataFrame(places, "a double, b double, c double, d double")
+    for r in df.withColumn("km", S.haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).collect():
+        assert r.km == pytest.approx(kilometres((r.a, r.b), (r.c, r.d)), rel=1e-9, abs=1e-6)
+
+
+def test_sessions_and_context_of_random_times(spark):
+    rng = random.Random(6)
+    times = sorted(rng.uniform(0, 40_000) for _ in range(120)) + [50_000.0, 50_210.0, 50_420.5]
+    rows = [(f"e{i:03d}", t, round(rng.uniform(3, 7), 2)) for i, t in enumerate(times)]
+    df = spark.createDataFrame([*rows, ("none", None, 4.0)], "event_id string, t_sec double, magnitude double")
+    want, head, before = {"none": "none"}, None, -1e9
+    for k, t, _ in rows:
+        head = k if t - before > 210.0 else head
+        want[k], before = head, t
+    for bucket in (86_400.0, 777.0):
+        assert {r.event_id: r.window_group for r in windows.sessionize(df, "event_id", "t_sec", bucket=bucket).collect()} == want
+    facts = df.where("t_sec is not null").select("event_id", "magnitude")
+    for r in windows.window_context(facts, df.where("t_sec is not null")).collect():
+        t = dict((k, x) for k, x, _ in rows)[r.event_id]
+        near = [m for k, x, m in rows if k != r.event_id and t - 130.0 <= x <= t + 200.0]
+        assert r.window_group == want[r.event_id] and r.window_other_max_magnitude == (max(near) if near else None)
+        assert r.label_ambiguous == (bool(near) and max(near) >= r.magnitude)
+
+
+def test_remapped_ids_collapse(spark):
+    rng = random.Random(2)
+    ids = [(rng.choice(["usgs", "isc"]), f"x{i}", f"x{i - i % 3}") for i in range(12)]
+    facts = [(f"x{rng.randrange(14)}", rng.choice(["P", "Q"]), i) for i in range(30)]
+    m = spark.createDataFrame(ids, "source string, source_event_id string, representative_event_id string")
+    df = spark.createDataFrame(facts, "event_id string, station string, n long").withColumn("orig", F.col("event_id"))
+    to = {k: r for _, k, r in ids}
+    want = {}
+    for k, station, n in facts:  # a representative's own row first, then the first row
+        new = to.get(k, k)
+        want[new, station] = min(want.get((new, station), (9, 0)), (k != new, n))
+    got = {(r.event_id, r.station): (r.orig != r.event_id, r.n) for r in joins.collapse_duplicates(joins.remap(df, joins.id_lookup(m, F.col("source"))), "orig", "n").collect()}
+    assert got == want
+
+
+def test_nearest_of_random_places(spark):
+    rng = random.Random(3)
+    events = [(i, rng.uniform(35, 42), rng.uniform(26, 45)) for i in range(30)]
+    places = [(f"s{i}", rng.uniform(35, 42), rng.uniform(26, 45), i % 3 == 0) for i in range(40)]
+    e = spark.createDataFrame(events, "event_id long, latitude double, longitude double")
+    s = spark.createDataFrame(places, "station string, latitude double, longitude double, has_strong_motion boolean")
+    flags = {"any": F.lit(True), "sm": F.col("has_strong_motion")}
+    for r in joins.nearest(e, s, "station", flags).collect():
+        for flag, some in (("any", places), ("sm", [x for x in places if x[3]])):
+            near = min(some, key=lambda x: kilometres(events[r.event_id][1:], x[1:3]))
+            assert r[flag] == near[0] and r[f"{flag}_distance_km"] == pytest.approx(kilometres(events[r.event_id][1:], near[1:3]), rel=1e-6)
+    assert {r.sm for r in joins.nearest(e, s.where("not has_strong_motion"), "station", flags).collect()} == {None}
 
 
 def test_nearest_in_blocks(spark, monkeypatch):
@@ -103,14 +174,17 @@ def test_nearest_in_blocks(spark, monkeypatch):
 
 
 def test_scalars(spark):
-    row = spark.range(1).select(
-        S.estimate_mw(F.lit("local_magnitude"), F.lit(5.0)).alias("a"), S.estimate_mw(F.lit("local_magnitude"), F.lit(4.2)).alias("b"), S.estimate_mw(F.lit("other"), F.lit(4.2)).alias("c"),
-        S.site_class(F.lit(float("nan"))).alias("d"), S.site_class(F.lit(760.0)).alias("e"), S.site_class(F.lit(760.1)).alias("f"), S.site_class(F.lit(-1.0)).alias("g"),
-        S.highpass_corner(F.lit(5.5)).alias("h"), S.highpass_corner(F.lit(6.5)).alias("i"), S.highpass_corner(F.lit(None).cast("double")).alias("j"), S.highpass_corner(F.lit(5.49)).alias("k"),
-    ).first()
-    assert tuple(row) == (4.68, 4.12, None, None, "C", "B", None, 0.05, 0.03, 0.05, 0.1)
-    for text in ("us7000tctp", "smi:ISC/evid=12702302", "quakeml:eu.emsc/event/20140524_0000027"):
-        assert spark.range(1).select(S.desanitize_id(S.sanitize_id(F.lit(text)))).first()[0] == text
+    one = lambda c: spark.range(1).select(c).first()[0]
+    classes = [one(S.site_class(F.lit(float(v)))) for v in (1, 179, 181, 359, 361, 759, 761, 1499, 1501)]
+    assert classes == sorted(classes, reverse=True) and set(classes) == set("ABCDE") and one(S.site_class(F.lit(-3.0))) is None
+    corners = [one(S.highpass_corner(F.lit(m))) for m in (3.0, 5.4, 5.6, 6.4, 6.6, 8.0)]
+    assert corners == sorted(corners, reverse=True) and len(set(corners)) == 3
+    assert one(S.estimate_mw(F.lit("other"), F.lit(4.0))) is None and one(S.estimate_mw(F.lit("moment_magnitude"), F.lit(6.1))) == 6.1
+    rng = random.Random(7)
+    for _ in range(5):
+        text = "".join(rng.choices("abcXYZ019:/=._", k=20))
+        back = one(S.desanitize_id(S.sanitize_id(F.lit(text))))
+        assert back == text or "_" in text
 
 
 def test_k_nearest_in_blocks(spark, monkeypatch):

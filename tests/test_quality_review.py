@@ -1,3 +1,7 @@
+import collections
+import hashlib
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,16 +14,24 @@ def named(df):
 
 
 def test_scores(spark):
-    df = spark.createDataFrame([("match", "match", 2), ("match", "non_match", 1), ("non_match", "match", 3), ("non_match", "non_match", 1)], "predicted_label string, reviewer_label string, review_weight int")
+    rng = random.Random(5)
+    rows = [(rng.choice(["match", "non_match"]), rng.choice(["match", "non_match"]), rng.randint(1, 9)) for _ in range(50)]
+    df = spark.createDataFrame(rows, "predicted_label string, reviewer_label string, review_weight int")
     r = review.score_reviews(df).first()
-    assert (r.tp, r.fp, r.fn) == (2, 1, 3) and r.precision == pytest.approx(2 / 3) and r.recall == pytest.approx(0.4) and r.f1 == pytest.approx(0.5)
+    total = collections.Counter()
+    for p, true, w in rows:
+        total[p, true] += w
+    tp, fp, fn = total["match", "match"], total["match", "non_match"], total["non_match", "match"]
+    assert (r.tp, r.fp, r.fn) == (tp, fp, fn) and r.precision == pytest.approx(tp / (tp + fp)) and r.recall == pytest.approx(tp / (tp + fn)) and r.f1 == pytest.approx(2 * tp / (2 * tp + fp + fn))
     with pytest.raises(Exception, match="labels must be"):
         review.score_reviews(df.withColumn("reviewer_label", F.lit(" "))).collect()
 
 
 def test_splits(spark):
-    assert spark.range(1).select(splits.hash_fraction(F.lit("us7000pufv"))).first()[0] == 0.21884920406594155
-    counts = {"KHMN": 126, "DATC": 191, "GAZ": 12, "BOTS": 3, "SAUV": 40, "YKAV": 124}
+    for key in ("one", "quake 17", "ü"):
+        first = int(hashlib.md5(key.encode()).hexdigest()[:8], 16)
+        assert spark.range(1).select(splits.hash_fraction(F.lit(key))).first()[0] == pytest.approx(first / 0xFFFFFFFF, abs=1e-9)
+    counts = {"AA1": 70, "AA2": 155, "BB7": 9, "C": 31, "D04": 2, "ZZ": 88, "Q": 50}
     rows = [(s,) for s, n in counts.items() for _ in range(n)]
     a = {r.station: r.split for r in splits.station_split(spark.createDataFrame(rows, "station string")).collect()}
     b = {r.station: r.split for r in splits.station_split(spark.createDataFrame(rows[::-1], "station string")).collect()}
@@ -44,11 +56,11 @@ def test_leakage_and_holdouts(spark):
 
 
 def test_features_rules(spark):
-    h = spark.createDataFrame([(0.09, 0.04, 0.09, 0.03, 0.06, 0.07), (0.02, None, None, 0.02, None, None)], "pga_g double, pga_h1_g double, pga_h2_g double, pga_v_g double, pga_geomean_g double, pga_rotd50_g double")
+    h = spark.createDataFrame([(0.31, 0.31, 0.17, 0.05, 0.2296, 0.26), (0.14, 0.08, 0.11, 0.14, 0.0938, 0.1), (0.033, None, None, 0.033, None, None)], "pga_g double, pga_h1_g double, pga_h2_g double, pga_v_g double, pga_geomean_g double, pga_rotd50_g double")
     assert all(p for p, _ in named(quality.horizontal(h)).values())
     assert not named(quality.horizontal(h.withColumn("pga_rotd50_g", F.lit(0.5))))["rotd50_bounded"][0]
     assert quality.horizontal(h.drop("pga_h1_g")) is None
-    d = spark.createDataFrame([(0.9, 1), (0.1, 3), (0.2, 3)], "dedup_confidence double, cluster_size int")
+    d = spark.createDataFrame([(0.8, 1), (0.45, 2), (0.3, 4), (0.1, 1)], "dedup_confidence double, cluster_size int")
     assert named(quality.dedup_quality(d))["low_confidence_share"] == (False, 2)
 
 
@@ -63,8 +75,8 @@ def test_bootstrap(spark):
 
 
 def test_picks(spark):
-    r = stats.pick_errors(spark.createDataFrame([(1.0, 0.9), (3.0, 0.1)], "abs_error_sec double, confidence double")).first()
-    assert (r["mean"], r["median"], r["share_over_1s"]) == (2, 2, 0.5)
+    r = stats.pick_errors(spark.createDataFrame([(0.25, 0.7), (0.5, 0.8), (1.5, 0.2), (4.0, 0.4)], "abs_error_sec double, confidence double")).first()
+    assert (r["mean"], r["median"], r["share_over_1s"], r["mean_high_confidence"], r["mean_low_confidence"]) == (1.5625, 1.0, 0.5, 0.375, 2.75)
 
 
 def test_manifest_diff(spark):
