@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
+# --- fixed values: gravity, periods and damping of the spectra, angles, and the trigger's windows and thresholds ---
 G = 9.81
 PERIODS = (0.1, 0.2, 0.5, 1.0, 2.0)
 DAMPING = 0.05
@@ -91,14 +92,27 @@ def _sections(corner: float, rate: float, order: int) -> list[tuple[np.ndarray,
     return out
 
 
-def _filtered(x: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
-    y, z1, z2 = np.empty(len(x)), 0.0, 0.0
-    b0, b1, b2, a1, a2 = float(b[0]), float(b[1]), float(b[2]), float(a[1]), float(a[2])
-    for i, v in enumerate(x.tolist()):
-        o = b0 * v + z1
-        z1, z2 = b1 * v - a1 * o + z2, b2 * v - a2 * o
-        y[i] = o
-    return y
+def _filtered(x: np.ndarray, b: np.ndarray, a: np.ndarray, block: int = 64) -> np.ndarray:
+    """A second-order section from rest. A block's output is linear in its samples and the two delays before it, so blocks are matrix products and only the delays are carried on."""
+    n = len(x)
+    step = np.zeros((block + 2, block))  # a row for each unit sample, then for each unit delay
+    after = np.zeros((block + 2, 2))
+    z1, z2 = np.zeros(block + 2), np.zeros(block + 2)
+    z1[block], z2[block + 1] = 1, 1
+    for i in range(block):
+        v = (np.arange(block + 2) == i).astype(float)
+        o = b[0] * v + z1
+        z1, z2 = b[1] * v - a[1] * o + z2, b[2] * v - a[2] * o
+        step[:, i] = o
+    after[:, 0], after[:, 1] = z1, z2
+    rows = np.zeros((-(-n // block), block))
+    rows.ravel()[:n] = x
+    own, ends = rows @ step[:block], rows @ after[:block]
+    held, state = np.zeros((len(rows), 2)), np.zeros(2)
+    for i, e in enumerate(ends):
+        held[i] = state
+        state = state @ after[block:] + e
+    return (own + held @ step[block:]).ravel()[:n]
 
 
 def taper(x: np.ndarray, share: float = 0.05) -> np.ndarray:
@@ -179,3 +193,41 @@ def snr_db(x: np.ndarray, pick: int, rate: float, seconds: float = 5.0) -> float
 def window_peaks(x: np.ndarray, pick: int, rate: float, windows: tuple[int, ...] = (1, 3, 5, 10)) -> dict[int, float]:
     """Largest amplitude within each window after the pick; windows the record does not cover are left out."""
     return {w: float(np.abs(x[pick : pick + int(w * rate)]).max()) for w in windows if pick + int(w * rate) <= len(x) and int(w * rate) > 0}
+
+
+def merged(pieces: list[tuple[float, np.ndarray]], rate: float) -> tuple[np.ndarray, int]:
+    """Pieces (start in seconds, samples) of one channel as one array, gaps filled by straight lines, and the number of gaps; where pieces overlap the earlier one counts."""
+    pieces = sorted((p for p in pieces if len(p[1])), key=lambda p: p[0])
+    if not pieces:
+        return np.zeros(0), 0
+    at, values, gaps, end = [], [], 0, None
+    for start, x in pieces:
+        first = round((start - pieces[0][0]) * rate)
+        if end is not None:
+            gaps += first > end
+            x = x[max(0, end - first) :]
+            first = max(first, end)
+        at.append(first + np.arange(len(x)))
+        values.append(x)
+        end = max(end or 0, first + len(x))
+    at, values = np.concatenate(at), np.concatenate(values)
+    return np.interp(np.arange(int(at[-1]) + 1), at, values) if gaps else values, gaps
+
+
+def clipped(x: np.ndarray) -> bool:
+    """Many samples at the largest amplitude."""
+    if len(x) < 10:
+        return False
+    size = np.abs(x)
+    return bool(size.max() > 0 and (size >= 0.999 * size.max()).sum() > max(5, 0.01 * len(x)))
+
+
+def integral(x: np.ndarray, dt: float) -> np.ndarray:
+    """Running integral by trapezoids, from 0."""
+    return np.concatenate([[0.0], np.cumsum((x[1:] + x[:-1]) / 2) * dt]) if len(x) else np.zeros(0)
+
+
+def displacement_peaks(accel: np.ndarray, pick: int, rate: float, windows: tuple[int, ...] = (1, 3, 5, 10), corner: float = 0.075) -> dict[int, float]:
+    """Peak displacement after the pick: twice integrated, filtered forward only (two corners), as it could be had in real time."""
+    moved = accel - accel[:pick].mean() if pick > 0 else accel
+    return window_peaks(highpass(integral(integral(moved, 1 / rate), 1 / rate), rate, corner, 2, False), pick, rate, windows)

@@ -117,49 +117,85 @@ def usable(flag_list: Column, instrument: Column) -> Column:
     return (instrument == "strong_motion") & ~F.arrays_overlap(F.split(flag_list, ","), F.array(*map(F.lit, BLOCKERS)))
 
 
-FEATURES = "file string, pga_g double, pga_h1_g double, pga_h2_g double, pga_v_g double, pga_geomean_g double, pga_rotd50_g double, " + ", ".join(f"sa_{str(p).replace('.', 'p')}_rotd50_g double" for p in K.PERIODS) + ", arias double, cav double, d5_95 double, dominant_hz double, mean_hz double, p_pick_sec double, p_pick_confidence double, snr_db double, s_pick_sec double, s_pick_confidence double, highpass_corner_hz double, duration_sec double, qc_flags string"
+FEATURES = "file string, instrument_type_used string, usable_for_engineering boolean, pga_g double, pgv_cms double, pga_h1_g double, pga_h2_g double, pga_v_g double, pga_geomean_g double, pga_rotd50_g double, " + ", ".join(f"sa_{str(p).replace('.', 'p')}_rotd50_g double" for p in K.PERIODS) + ", arias double, cav double, d5_95 double, dominant_hz double, mean_hz double, p_pick_sec double, p_pick_confidence double, snr_db double, s_pick_sec double, s_pick_confidence double, highpass_corner_hz double, duration_sec double, qc_flags string"
 
 
-def file_features(channels: dict[str, tuple[float, np.ndarray]], magnitude: float | None) -> dict:
-    """Measures of one file (channel -> rate, acceleration in m/s2); a stage that fails leaves NULLs and a flag."""
+#: Instrument groups in the order of preference, by the channel code's second letter.
+GROUPS = {"N": "strong_motion", "H": "broadband"}
+
+
+def instrument(channels: list[str]) -> list[str]:
+    """The channels of the preferred instrument: strong motion, then broadband high rate, then the first by name."""
+    for code in ("HN", "HH"):
+        own = [c for c in channels if c.startswith(code)]
+        if own:
+            return own
+    return [c for c in channels if c[:2] == channels[0][:2]] if channels else []
+
+
+def file_features(channels: dict[str, tuple[float, list[tuple[float, np.ndarray]]]], magnitude: float | None, responses: dict[str, tuple] | None = None) -> dict:
+    """Measures of one file (channel -> rate, pieces of start and samples); a stage that fails leaves NULLs and a flag.
+
+    Without ``responses`` the samples are acceleration in m/s2; with them they are counts, of which the
+    response (poles, zeros, gain of acceleration) is removed, and a channel without one is not measured.
+    """
     out: dict = {}
     notes: list[str] = []
     corner = 0.05 if magnitude is None or magnitude != magnitude else 0.03 if magnitude >= 6.5 else 0.05 if magnitude >= 5.5 else 0.1
     out["highpass_corner_hz"] = corner
-    names = sorted(channels)
+    names = instrument(sorted(channels))
+    out["instrument_type_used"] = (GROUPS.get(names[0][1:2], "other") if names else None)
+    raw, gaps = {}, 0
+    for c in names:
+        x, n = K.merged(channels[c][1], channels[c][0])
+        raw[c], gaps = (channels[c][0], x), gaps + n
     flat = [c for c in names if not c.endswith("Z")]
     up = next((c for c in names if c.endswith("Z")), None)
-    rates = {r for r, _ in channels.values()}
-    out["duration_sec"] = round(max((len(x) / r for r, x in channels.values()), default=0.0), 3)
+    out["duration_sec"] = round(max((len(x) / r for r, x in raw.values()), default=0.0), 3)
+    if gaps:
+        notes.append(FLAG_GAPS)
     if len(names) < 3:
         notes.append(FLAG_COMPONENT)
-    if len(rates) > 1:
+    if any(K.clipped(x) for _, x in raw.values()):
+        notes.append(FLAG_CLIPPING)
+    if len({r for r, _ in raw.values()}) > 1:
         notes.append(FLAG_RATE)
-    try:
-        clean = {c: (r, K.highpass(x, r, corner)) for c, (r, x) in channels.items()}
-        peaks = {c: float(np.abs(x).max()) / K.G for c, (_, x) in clean.items() if len(x)}
-        out["pga_g"] = round(max(peaks.values()), 5) if peaks else None
-        if up in peaks:
-            out["pga_v_g"] = round(peaks[up], 5)
-        if len(flat) == 2 and all(c in peaks for c in flat):
-            (r1, a), (r2, b) = clean[flat[0]], clean[flat[1]]
-            out["pga_h1_g"], out["pga_h2_g"] = round(peaks[flat[0]], 5), round(peaks[flat[1]], 5)
-            out["pga_geomean_g"] = round(float(np.sqrt(peaks[flat[0]] * peaks[flat[1]])), 5)
-            n = min(len(a), len(b))
-            if r1 == r2 and n >= 2:
-                a, b, dt = a[:n], b[:n], 1 / r1
-                out["pga_rotd50_g"] = round(K.rotd50(a, b) / K.G, 5)
-                for p in K.PERIODS:
-                    out[f"sa_{str(p).replace('.', 'p')}_rotd50_g"] = round(K.sa_rotd50(a, b, dt, p) / K.G, 5)
-                best = a if np.abs(a).max() >= np.abs(b).max() else b
-                out["arias"], out["cav"], out["d5_95"] = K.intensity(best, dt)
-                out["dominant_hz"], out["mean_hz"] = K.spectrum(best, dt)
-    except (ValueError, np.linalg.LinAlgError):
-        notes.append(FLAG_RESPONSE_FAILED)
-    if up is None or len(channels[up][1]) <= 200:
+    ground = raw
+    if responses is not None:
+        ground = {}
+        for c, (r, x) in raw.items():
+            if responses.get(c) is None:
+                notes += [FLAG_NO_RESPONSE] * (FLAG_NO_RESPONSE not in notes)
+                continue
+            try:
+                ground[c] = r, K.deconvolve(x, r, *responses[c])
+            except (ValueError, TypeError, np.linalg.LinAlgError):
+                notes += [FLAG_RESPONSE_FAILED] * (FLAG_RESPONSE_FAILED not in notes)
+    clean = {c: (r, K.highpass(x, r, corner)) for c, (r, x) in ground.items() if len(x)}
+    peaks = {c: float(np.abs(x).max()) / K.G for c, (_, x) in clean.items()}
+    if peaks:
+        out["pga_g"] = round(max(peaks.values()), 5)
+        speed = [np.abs(K.integral(x, 1 / r)).max() for r, x in clean.values()]
+        out["pgv_cms"] = round(float(max(speed)) * 100, 4)
+    if up in peaks:
+        out["pga_v_g"] = round(peaks[up], 5)
+    if len(flat) == 2 and all(c in peaks for c in flat):
+        (r1, a), (r2, b) = clean[flat[0]], clean[flat[1]]
+        out["pga_h1_g"], out["pga_h2_g"] = round(peaks[flat[0]], 5), round(peaks[flat[1]], 5)
+        out["pga_geomean_g"] = round(float(np.sqrt(peaks[flat[0]] * peaks[flat[1]])), 5)
+        n = min(len(a), len(b))
+        if r1 == r2 and n >= 2:
+            a, b, dt = a[:n], b[:n], 1 / r1
+            out["pga_rotd50_g"] = round(K.rotd50(a, b) / K.G, 5)
+            for p in K.PERIODS:
+                out[f"sa_{str(p).replace('.', 'p')}_rotd50_g"] = round(K.sa_rotd50(a, b, dt, p) / K.G, 5)
+            best = a if np.abs(a).max() >= np.abs(b).max() else b
+            out["arias"], out["cav"], out["d5_95"] = K.intensity(best, dt)
+            out["dominant_hz"], out["mean_hz"] = K.spectrum(best, dt)
+    if up is None or len(raw[up][1]) <= 200:
         notes.append(FLAG_NO_VERTICAL)
     else:
-        rate, z = channels[up]
+        rate, z = raw[up]
         ratio = K.sta_lta(z, int(K.STA * rate), int(K.LTA * rate))
         hits = K.triggers(ratio)
         if hits:
@@ -167,27 +203,78 @@ def file_features(channels: dict[str, tuple[float, np.ndarray]], magnitude: floa
             out["p_pick_sec"], out["p_pick_confidence"] = pick / rate, K.confidence(ratio, *hits[0])
             out["snr_db"] = K.snr_db(z, pick, rate)
             if len(flat) >= 2:
-                n = min(len(channels[flat[0]][1]), len(channels[flat[1]][1]))
-                e = np.hypot(channels[flat[0]][1][:n], channels[flat[1]][1][:n])
+                n = min(len(raw[flat[0]][1]), len(raw[flat[1]][1]))
+                e = np.hypot(raw[flat[0]][1][:n], raw[flat[1]][1][:n])
                 second = K.sta_lta(e, int(K.STA * rate), int(K.LTA * rate))
                 later = [t for t in K.triggers(second) if t[0] > pick + int(rate)]
                 if later:
                     out["s_pick_sec"], out["s_pick_confidence"] = later[0][0] / rate, K.confidence(second, *later[0])
     out["qc_flags"] = ",".join(notes)
+    out["usable_for_engineering"] = out["instrument_type_used"] == "strong_motion" and not set(notes) & set(BLOCKERS)
     return out
 
 
-def compute_features(traces: DataFrame, magnitudes: DataFrame | None = None) -> DataFrame:
-    """One row of measures a file; a file's traces are one group (one record, bounded by its length)."""
+def _pieces(group: pd.DataFrame) -> dict[str, tuple[float, list[tuple[float, np.ndarray]]]]:
+    """A file's traces by channel; pieces of another rate than the channel's first are left to a channel of their own."""
+    out: dict[str, tuple[float, list[tuple[float, np.ndarray]]]] = {}
+    for c, t, r, x in sorted(zip(group.channel, group.start, group.sampling_rate_hz, group.samples, strict=True), key=lambda v: (v[0], v[1])):
+        if x is not None:
+            name = c if c not in out or out[c][0] == float(r) else f"{c[:2]}_{float(r):g}{c[2:]}"
+            out.setdefault(name, (float(r), []))[1].append((float(t), np.asarray(x, float)))
+    return out
+
+
+def compute_features(traces: DataFrame, magnitudes: DataFrame | None = None, responses: DataFrame | None = None) -> DataFrame:
+    """One row of measures a file; a file's traces are one group (one record, bounded by its length).
+
+    ``magnitudes``: file, magnitude. ``responses``: file, channel, gain and arrays of poles and zeros (pairs of
+    real and imaginary part), for traces in counts.
+    """
     rows = traces.join(magnitudes, "file", "left") if magnitudes is not None else traces.withColumn("magnitude", F.lit(None).cast("double"))
+    kind = "struct<gain:double,poles:array<array<double>>,zeros:array<array<double>>>"
+    if responses is not None:
+        rows = rows.join(responses.select("file", "channel", F.struct("gain", "poles", "zeros").cast(kind).alias("response")), ["file", "channel"], "left")
+    else:
+        rows = rows.withColumn("response", F.lit(None).cast(kind))
     names = [f.split()[0] for f in FEATURES.split(", ")]
+    counts = responses is not None
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
-        channels = {c: (float(r), np.asarray(s, float)) for c, r, s in zip(group.channel, group.sampling_rate_hz, group.samples, strict=True) if s is not None}
         m = group.magnitude.iloc[0]
-        return pd.DataFrame([{n: None for n in names} | {"file": group.file.iloc[0]} | file_features(channels, None if pd.isna(m) else float(m))])[names]
+        known = {}
+        for c, r in zip(group.channel, group.response, strict=True) if counts else []:
+            if r is not None:
+                known[c] = [complex(*z) for z in r["poles"]], [complex(*z) for z in r["zeros"]], float(r["gain"])
+        found = file_features(_pieces(group), None if pd.isna(m) else float(m), known if counts else None)
+        return pd.DataFrame([{n: None for n in names} | {"file": group.file.iloc[0]} | found])[names]
+
+    start = (F.unix_micros("start_ts") / 1e6).alias("start") if "start_ts" in traces.columns else F.lit(0.0).alias("start")
+    return rows.select("file", "channel", start, "sampling_rate_hz", "samples", F.col("magnitude").cast("double").alias("magnitude"), "response").groupBy("file").applyInPandas(one, FEATURES)
+
+
+P_WINDOWS = "file string, channel string, pa_1s double, pa_3s double, pa_5s double, pa_10s double, pd_1s double, pd_3s double, pd_5s double, pd_10s double"
 
-    return rows.select("file", "channel", "sampling_rate_hz", "samples", F.col("magnitude").cast("double").alias("magnitude")).groupBy("file").applyInPandas(one, FEATURES)
+
+def p_windows(traces: DataFrame, picks: DataFrame) -> DataFrame:
+    """Per file of ``picks`` (file, p_pick_sec): peak acceleration and peak displacement 1, 3, 5 and 10 s after the pick.
+
+    They are read from one vertical channel: strong motion, then broadband, then the first by name; windows
+    that the record does not cover are NULL, and a file without a vertical channel has no row.
+    """
+    names = [f.split()[0] for f in P_WINDOWS.split(", ")]
+
+    def one(group: pd.DataFrame) -> pd.DataFrame:
+        own = {c: v for c, v in _pieces(group).items() if c.endswith("Z")}
+        if not own:
+            return pd.DataFrame(columns=names)
+        channel = min(own, key=lambda c: (not c.startswith("HN"), not c.startswith("HH"), c))
+        rate, (x, _) = own[channel][0], K.merged(own[channel][1], own[channel][0])
+        pick = int(round(float(group.p_pick_sec.iloc[0]) * rate))
+        a, d = (K.window_peaks(x, pick, rate), K.displacement_peaks(x, pick, rate)) if 0 <= pick < len(x) else ({}, {})
+        return pd.DataFrame([{"file": group.file.iloc[0], "channel": channel} | {f"{n}_{w}s": v.get(w) for n, v in (("pa", a), ("pd", d)) for w in (1, 3, 5, 10)}])[names]
+
+    rows = traces.join(picks.where("p_pick_sec is not null").select("file", "p_pick_sec"), "file")
+    return rows.select("file", "channel", (F.unix_micros("start_ts") / 1e6).alias("start"), "sampling_rate_hz", "samples", "p_pick_sec").groupBy("file").applyInPandas(one, P_WINDOWS)
 
 
 def map_arrays(df: DataFrame, schema: str, f) -> DataFrame:

@@ -386,6 +386,12 @@ def waveform_features(spark, d):
     return waveform.compute_features(traces(spark, d))
 
 
+@query()
+def p_window_amplitudes(spark, d):
+    t = traces(spark, d)
+    return waveform.p_windows(t, t.select("file").distinct().withColumn("p_pick_sec", F.lit(0.1)))
+
+
 # --- models and scores ---
 _LN = "3.26685e0 + case when m <= 675e-2 then 29e-4 * (m - 675e-2) else -5096e-4 * (m - 675e-2) end + -4846e-5 * pow(85e-1 - m, 2) + (-147905e-5 + 2529e-4 * (m - 675e-2)) * ln(sqrt(r * r + 5625e-2))"
 _GMPE = f"""{_FACTS}, g0 as (select file, event_id, magnitude as m, greatest(hypocentral_distance_km, 1) as r, vs30_ms as v30, pga_g from facts where vs30_ms is not null), g1 as (select *, {_LN} as lr, least(v30, 1000) / 750e0 as v from g0),

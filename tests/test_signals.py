@@ -111,3 +111,41 @@ def test_features_survive_bad_files(spark):
     df = traces(spark, ("good", "HNE", 0.0, np.sin(np.arange(3000) / 5)), ("good", "HNN", 0.0, np.cos(np.arange(3000) / 5)), ("good", "HNZ", 0.0, np.sin(np.arange(3000) / 9)), ("short", "HNE", 0.0, []))
     got = {r.file: r for r in W.compute_features(df).collect()}
     assert got["good"].pga_rotd50_g > 0 and got["good"].highpass_corner_hz == 0.05 and W.FLAG_COMPONENT in got["short"].qc_flags
+
+
+def test_filter_in_blocks_equals_the_recurrence():
+    x = np.random.default_rng(4).normal(size=333)
+    for b, a in K._sections(0.3, 50.0, 4):
+        want, y1, y2 = [], 0.0, 0.0
+        for i, v in enumerate(x):
+            y = b[0] * v + b[1] * (x[i - 1] if i else 0) + b[2] * (x[i - 2] if i > 1 else 0) - a[1] * y1 - a[2] * y2
+            want.append(y)
+            y1, y2 = y, y1
+        assert np.allclose(K._filtered(x, b, a), want, atol=1e-9) and np.allclose(K._filtered(x, b, a, 7), want, atol=1e-9)
+
+
+def test_pieces_instruments_and_flags(spark):
+    t = np.arange(6000) / 100
+    x = np.sin(2 * np.pi * 2 * t) * (t > 20) * 3 * np.exp(-(t - 20) / 40) + 1e-3 * np.sin(2 * np.pi * 7 * t)
+    rows = []
+    for c in ("HNE", "HNN", "HNZ"):
+        rows += [("gap", c, 0.0, x[:3000]), ("gap", c, 31.0, x[3100:]), ("whole", c, 0.0, x), ("both", c, 0.0, x)]
+    rows += [("both", c, 0.0, 50 * x) for c in ("HHE", "HHN", "HHZ")] + [("flat", c, 0.0, np.clip(x, -1, 1)) for c in ("HNE", "HNN", "HNZ")] + [("few", "HHZ", 0.0, x)]
+    df = traces(spark, *rows)
+    got = {r.file: r for r in W.compute_features(df).collect()}
+    assert got["both"].pga_g == got["whole"].pga_g and got["both"].instrument_type_used == "strong_motion" and got["both"].pga_geomean_g is not None
+    assert got["gap"].qc_flags == W.FLAG_GAPS and got["gap"].duration_sec == 60.0 and got["gap"].usable_for_engineering and got["gap"].pga_g == pytest.approx(got["whole"].pga_g, rel=0.02)
+    assert W.FLAG_CLIPPING in got["flat"].qc_flags and not got["flat"].usable_for_engineering
+    assert got["few"].instrument_type_used == "broadband" and W.FLAG_COMPONENT in got["few"].qc_flags and not got["few"].usable_for_engineering
+    assert got["whole"].pgv_cms == pytest.approx(3 / (2 * np.pi * 2) * 100, rel=0.1) and got["whole"].p_pick_sec == pytest.approx(20, abs=0.5)
+    p = {r.file: r for r in W.p_windows(df, spark.createDataFrame([("both", 20.0), ("few", 55.0), ("whole", None)], "file string, p_pick_sec double")).collect()}
+    assert p["both"].channel == "HNZ" and p["both"].pa_3s == pytest.approx(3, rel=0.03) and p["both"].pd_10s > 0 and set(p) == {"both", "few"} and p["few"].pa_10s is None and p["few"].pa_3s is not None
+
+
+def test_response_is_removed_or_flagged(spark):
+    x = np.sin(2 * np.pi * 2 * np.arange(4000) / 100) * np.exp(-np.abs(np.arange(4000) - 2000) / 3000)
+    df = traces(spark, *[(f, c, 0.0, 1000 * x) for f in ("known", "unknown") for c in ("HNE", "HNN", "HNZ")])
+    told = spark.createDataFrame([("known", c, 1000.0, [[0.0, 0.0]][:0], [[0.0, 0.0]][:0]) for c in ("HNE", "HNN", "HNZ")], "file string, channel string, gain double, poles array<array<double>>, zeros array<array<double>>")
+    got = {r.file: r for r in W.compute_features(df, responses=told).collect()}
+    assert got["known"].pga_g == pytest.approx(1 / K.G, rel=0.05) and got["known"].usable_for_engineering
+    assert got["unknown"].pga_g is None and got["unknown"].qc_flags.startswith(W.FLAG_NO_RESPONSE) and not got["unknown"].usable_for_engineering
