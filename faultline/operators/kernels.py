@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 # --- fixed values: gravity, periods and damping of the spectra, angles, and the trigger's windows and thresholds ---
@@ -92,11 +94,10 @@ def _sections(corner: float, rate: float, order: int) -> list[tuple[np.ndarray,
     return out
 
 
-def _filtered(x: np.ndarray, b: np.ndarray, a: np.ndarray, block: int = 64) -> np.ndarray:
-    """A second-order section from rest. A block's output is linear in its samples and the two delays before it, so blocks are matrix products and only the delays are carried on."""
-    n = len(x)
-    step = np.zeros((block + 2, block))  # a row for each unit sample, then for each unit delay
-    after = np.zeros((block + 2, 2))
+@lru_cache(maxsize=256)
+def _blocks(b: tuple[float, ...], a: tuple[float, ...], block: int) -> tuple[np.ndarray, np.ndarray]:
+    """What every unit sample of a block, and either unit delay before it, adds to the block's output and to the delays after it."""
+    step, after = np.zeros((block + 2, block)), np.zeros((block + 2, 2))
     z1, z2 = np.zeros(block + 2), np.zeros(block + 2)
     z1[block], z2[block + 1] = 1, 1
     for i in range(block):
@@ -105,6 +106,13 @@ def _filtered(x: np.ndarray, b: np.ndarray, a: np.ndarray, block: int = 64) -> n
         z1, z2 = b[1] * v - a[1] * o + z2, b[2] * v - a[2] * o
         step[:, i] = o
     after[:, 0], after[:, 1] = z1, z2
+    return step, after
+
+
+def _filtered(x: np.ndarray, b: np.ndarray, a: np.ndarray, block: int = 64) -> np.ndarray:
+    """A second-order section from rest. A block's output is linear in its samples and the two delays before it, so blocks are matrix products and only the delays are carried on."""
+    n = len(x)
+    step, after = _blocks(tuple(map(float, b)), tuple(map(float, a)), block)
     rows = np.zeros((-(-n // block), block))
     rows.ravel()[:n] = x
     own, ends = rows @ step[:block], rows @ after[:block]
