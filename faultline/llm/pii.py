@@ -12,12 +12,12 @@ the value, and unless that has a letter, the last word left of it, with the mark
 Bootstrapping, in rounds. (1) The contexts of at least ``least_seeds`` different seeds are patterns.
 (2) Patterns of which seeds are at least ``least_share`` of all occurrences are followed: whatever
 else stands in such a context is a candidate, whatever its characters. (3) Patterns, and shapes (kinds
-of characters, length) of seeds and candidates, form a graph with the values. A pattern scores the mean
-score of its distinct values (shrunk towards 0 when they are few), a seed 1, a candidate the mean of its
-patterns, weighted by the logarithm of their size, until no score moves by ``MOVES``. (4) Candidates of a
-high score with a high-scoring pattern are found: they are of the kind that most of the pattern's seeds
-have. Every occurrence of a found value, in any context, is a span, and a seed of the next round. It ends
-when a round finds nothing, or after ``rounds``.
+of characters, length) of seeds and candidates, form a graph with the values. A pattern scores the
+share of seeds among its distinct values (shrunk towards 0 when they are few), a candidate the mean of its
+patterns, weighted by the logarithm of their size. (4) Candidates of a high score with a high-scoring
+pattern are found, unless over nine tenths of their occurrences are in other contexts, as with common words. They are
+of the kind that most of the pattern's seeds have; every occurrence is a span, and a seed of the next round,
+so scores change from round to round. It ends when a round finds nothing, or after ``rounds``.
 
 Tokens are not shuffled but counted and filtered in the task that reads their text from a table in the
 shared folder, by a join with the keys of the contexts, which are broadcast only up to ``MOST_KEYS``. Sums by pattern are pre-aggregated, joins on a frequent pattern are
@@ -52,8 +52,6 @@ REFUTED = r"^(?:[0-9]{13,19}|[0-9]+(?:\.[0-9]+){3})$"
 INSIDE = rf"\p{{L}}\p{{N}}{SEED}"
 #: Marks that end what is cut off before a value.
 MARKS = r"""[=:"'(<\[{]"""
-#: Change of a score below which scoring ends, and most steps of scoring.
-MOVES, STEPS = 0.001, 12
 #: Most contexts that are broadcast (beyond that every token's context is made and joined), and most words that texts are searched for first.
 MOST_KEYS, FEW = 100_000, 50
 SPAN = "struct<kind:string,s:int,e:int>"
@@ -138,9 +136,10 @@ def _holding(stored: DataFrame, words: list[str], digits: bool) -> DataFrame:
     """The rows whose texts may have one of ``words``, if these are few; it only saves work. ``digits``: 0 stands for any digit."""
     if len(words) > FEW or "" in words:
         return stored
+    if not digits:
+        return stored.where(F.expr(" or ".join(f"contains(__m, '{_quoted(w)}')" for w in words)))
     escaped = ["".join(c if c.isalnum() else "\\" + c for c in w) for w in words]
-    either = "|".join(w.replace("0", "[0-9]") if digits else w for w in escaped)
-    return stored.where(F.expr(f"rlike(__m, '{_quoted(f'(?iu)(?:{either})')}')"))
+    return stored.where(F.expr(f"rlike(__m, '{_quoted(f'(?iu)(?:{"|".join(w.replace("0", "[0-9]") for w in escaped)})')}')"))
 
 
 def near(stored: DataFrame, row: str, contexts: DataFrame, values: bool) -> DataFrame:
@@ -193,23 +192,17 @@ def described(found: DataFrame, known: Column | None = None) -> DataFrame:
 
 
 def _score(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Scores of patterns (pattern, n, p) and values (value, score), from edges (pattern, value, seed, salt), until they stay."""
-    values = None
-    weight = F.when(F.col("pattern").startswith("L:"), F.log2(F.coalesce("n", F.lit(1)) + 1)).otherwise(1.0)
-    for _ in range(STEPS):
-        v = F.when(F.col("seed").isNotNull(), 1.0).otherwise(0.0 if values is None else F.coalesce("score", F.lit(0.0)))
-        scored = (edges if values is None else edges.join(values, "value", "left")).withColumn("v", v)
-        # sums in whole millionths do not depend on their order
-        patterns = cut(scored.groupBy("pattern").agg(F.sum(F.rint(F.col("v") * 1e6).cast("long")).alias("t"), F.count(F.lit(1)).alias("n")).select("pattern", "n", (F.col("t") / 1e6 / (F.col("n") + 2)).alias("p")))
-        spread = patterns.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-        now = edges.join(spread, ["pattern", "salt"]).groupBy("value").agg((F.sum(F.rint(F.col("p") * weight * 1e6).cast("long")) / F.sum(F.rint(weight * 1e6).cast("long"))).alias("score"))
-        was, values = values, cut(now)
-        if was is not None and values.join(was.withColumnRenamed("score", "was"), "value").where(F.abs(F.col("score") - F.col("was")) >= MOVES).isEmpty():
-            break
-    return patterns, values
+    """Scores of patterns (pattern, n, p) and of values (value, score), from edges (pattern, value, seed, salt)."""
+    known = F.count_if(F.col("seed").isNotNull())
+    patterns = cut(edges.groupBy("pattern").agg(known.alias("t"), F.count(F.lit(1)).alias("n")).select("pattern", "n", (F.col("t") / (F.col("n") + 2)).alias("p")))
+    spread = patterns.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    weight = F.when(F.col("pattern").startswith("L:"), F.log2(F.col("n") + 1)).otherwise(1.0)
+    # sums in whole millionths do not depend on their order
+    scored = edges.join(spread, ["pattern", "salt"]).groupBy("value").agg((F.sum(F.rint(F.col("p") * weight * 1e6).cast("long")) / F.sum(F.rint(weight * 1e6).cast("long"))).alias("score"))
+    return patterns, cut(scored)
 
 
-def bootstrap(stored: DataFrame, row: str, rounds: int = 3, least_seeds: int = 5, least_share: float = 0.2, pattern_score: float = 0.8, score: float = 0.7) -> DataFrame:
+def bootstrap(stored: DataFrame, row: str, rounds: int = 3, least_seeds: int = 5, least_share: float = 0.2, own_share: float = 0.1, pattern_score: float = 0.8, score: float = 0.7) -> DataFrame:
     """Per row with discoveries: ``row`` and ``__new``, their spans.
 
     ``stored`` is a table of :func:`scan`'s rows in the shared folder, with ``row``, unique.
@@ -238,6 +231,7 @@ def bootstrap(stored: DataFrame, row: str, rounds: int = 3, least_seeds: int = 5
         edges = cut(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")).withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALT)).cast("int")))
         scores, values = _score(edges)
         kinds = edges.where("seed is not null").groupBy("pattern", "seed").agg(F.count(F.lit(1)).alias("n")).groupBy("pattern").agg(F.max_by("seed", F.struct("n", "seed")).alias("kind"), F.sum("n").alias("seeds"))
+        bounded = followed.limit(MOST_KEYS + 1).collect()
         good = scores.where((F.col("p") >= pattern_score) & F.col("pattern").startswith("L:")).join(kinds.where(F.col("seeds") >= least_seeds), "pattern").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
         new = edges.where(F.col("seed").isNull() & ~F.col("value").rlike(REFUTED)).join(good, ["pattern", "salt"]).groupBy("value").agg(F.max_by("kind", F.struct("p", "kind")).alias("kind"))
         new = cut(new.join(values.where(F.col("score") >= score), "value").select("value", "kind"))
@@ -248,17 +242,23 @@ def bootstrap(stored: DataFrame, row: str, rounds: int = 3, least_seeds: int = 5
         names = [r[0] for r in new.select("value").limit(MOST_KEYS + 1).collect()]
         long = tokens(_holding(stored, names, False), row).where((F.char_length("x") >= shortest) & ~F.contains("x", F.lit(SEED)))
         hits = cut(described(long).join(F.broadcast(new) if len(names) <= MOST_KEYS else new, "value").select(row, "i", F.char_length("open").alias("o"), "value", "kind", "context", F.expr(KEY).alias("key")))
+        inside = F.broadcast(good.select(F.expr("substr(pattern, 3)").alias("context"), F.lit(1).alias("in")).distinct()) if len(bounded) <= MOST_KEYS else good.select(F.expr("substr(pattern, 3)").alias("context"), F.lit(1).alias("in")).distinct()
+        own = hits.join(inside, "context", "left").groupBy("value").agg((F.count("in") / F.count(F.lit(1))).alias("share")).where(F.col("share") >= own_share)
+        hits = cut(hits.join(own.select("value"), "value", "left_semi"))
+        if hits.isEmpty():
+            break
         found = hits if found is None else found.unionByName(hits)
         seeds = cut(seeds.unionByName(hits.groupBy("context", "key", "value").agg(F.max("kind").alias("seed"), F.count(F.lit(1)).alias("times"))).groupBy("context", "key", "value").agg(F.max("seed").alias("seed"), F.max("times").alias("times")))
     if found is None:
         return stored.select(row, F.expr(none).alias("__new")).where("false")
     # only texts with discoveries are read again
-    hits = found.groupBy(row, "i").agg(F.max(F.struct("kind", "value", "o")).alias("h"))
-    texts = stored.select(row, "__m", "__seeds").join(hits.select(row).distinct(), row, "left_semi")
+    hits = cut(found.groupBy(row, "i").agg(F.max(F.struct("kind", "value", "o")).alias("h")))
+    small = F.broadcast if hits.count() <= MOST_KEYS else lambda df: df
+    texts = stored.select(row, "__m", "__seeds").join(small(hits.select(row).distinct()), row, "left_semi")
     place = "aggregate(slice(split(__m, '\\\\s', -1), 1, i), 0, (n, x) -> n + char_length(x) + 1) + h.o"
-    placed = texts.join(hits, row).withColumn("s", F.expr(f"aggregate(__seeds, {place}, (n, x) -> if(x.s < n, n + x.e - x.s - 1, n))"))
+    placed = texts.join(small(hits), row).withColumn("s", F.expr(f"aggregate(__seeds, {place}, (n, x) -> if(x.s < n, n + x.e - x.s - 1, n))"))
     span = F.struct(F.col("h.kind").alias("kind"), F.col("s").cast("int").alias("s"), (F.col("s") + F.char_length("h.value")).cast("int").alias("e"))
-    return placed.groupBy(row).agg(F.array_sort(F.collect_list(span)).alias("__new"))
+    return small(cut(placed.groupBy(row).agg(F.array_sort(F.collect_list(span)).alias("__new"))))
 
 
 def all_spans(documents: DataFrame, text: str = "text", keep_text: bool = False, seeds: dict[str, tuple[str, ...]] | None = None, **parameters: object) -> DataFrame:
