@@ -134,3 +134,16 @@ def best_candidate(hits: DataFrame, target: str, event: str, target_magnitude: s
 
 def earliest_picks(picks: DataFrame, keys: list[str], time: str, value: str) -> DataFrame:
     return picks.groupBy(*keys).agg(F.min(time).alias(time), F.min_by(value, F.struct(time, value)).alias(value))
+
+
+def installed(time: Column, start: Column) -> Column:
+    """Stations whose start is unknown, or not after the event, as a condition of a join."""
+    return start.isNull() | (start <= time)
+
+
+def target_events(log: DataFrame, events: DataFrame, order: str = "time_utc") -> DataFrame:
+    """Events that have successful requests: their stations as a sorted set, and the earliest row's place, time and magnitude."""
+    ok = log.where("status = 'ok'").groupBy("event_id").agg(F.array_sort(F.collect_set("station")).alias("stations"))
+    columns = [c for c in ("latitude", "longitude", "time_utc", "magnitude") if c in events.columns]
+    row = F.min_by(F.struct(*columns), F.struct(order, *columns)).alias("e")
+    return ok.join(events.groupBy("event_id").agg(row), "event_id").select("event_id", "stations", "e.*")

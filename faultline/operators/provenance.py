@@ -8,6 +8,11 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Values of a source's status, part of the manifest's format (fixed values).
+STATUS_CATALOG = ("catalog_records_observed", "no_catalog_records_observed", "catalog_source_status_unverified")
+STATUS_BOTH, STATUS_STATIONS, STATUS_NETWORK_UNKNOWN = "stations_and_waveforms_observed", "stations_observed_no_waveforms", "koeri_source_status_unverified"
+STATUS_SITES = ("vs30_values_observed", "no_vs30_values_observed", "vs30_source_status_unverified")
+
 
 def file_hashes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """path, bytes and sha256 of every file below ``path``."""
@@ -50,3 +55,44 @@ def manifest(artifacts: DataFrame, lineage: DataFrame, metadata: dict) -> str:
     """A deterministic JSON document: rows sorted, keys sorted. Its rows are files, not data."""
     rows = lambda df, *keys: [r.asDict() for r in df.orderBy(*keys).collect()]
     return json.dumps({"artifacts": rows(artifacts, "path"), "lineage": rows(lineage, "source", "metric"), "metadata": metadata}, sort_keys=True, indent=2) + "\n"
+
+
+def source_statuses(lineage: DataFrame, kinds: dict[str, str], skipped: tuple[str, ...] = ()) -> DataFrame:
+    """source, status: what the counts (source, metric, value) say of each source of a kind (catalog, network or sites).
+
+    A source without counts is unverified; ``skipped`` ones are marked so. The kinds are a few sources.
+    """
+    spark = lineage.sparkSession
+    named = F.broadcast(spark.createDataFrame(sorted(kinds.items()), "source string, kind string"))  # a row a source
+    value = lambda metric: F.max(F.when(F.col("metric") == metric, F.col("value")))
+    counts = lineage.groupBy("source").agg(value("reports").alias("reports"), value("rows").alias("rows"), value("waveform_files").alias("files"), value("with_vs30").alias("sites"))
+    d = counts.join(named, "source", "right")
+    one = lambda c, some, none, unknown: F.when(c > 0, some).when(c == 0, none).otherwise(unknown)
+    network = F.when((F.col("rows") > 0) & (F.col("files") > 0), STATUS_BOTH).when(F.col("rows") > 0, STATUS_STATIONS).otherwise(STATUS_NETWORK_UNKNOWN)
+    status = F.when(F.col("kind") == "catalog", one(F.col("reports"), *STATUS_CATALOG)).when(F.col("kind") == "network", network).otherwise(one(F.col("sites"), *STATUS_SITES))
+    return d.select("source", F.when(F.col("source").isin(*skipped), F.concat(status, F.lit("_picks_skipped"))).otherwise(status).alias("status"))
+
+
+def revision(root: Path) -> dict[str, str | bool]:
+    """The checked-out revision and whether files differ from it."""
+    import subprocess
+
+    def git(*words: str) -> str:
+        try:
+            return subprocess.run(["git", "-C", str(root), *words], check=True, capture_output=True, text=True).stdout.strip()
+        except (OSError, subprocess.CalledProcessError) as e:
+            raise RuntimeError(f"no revision of {root}: {e}") from e
+
+    return {"revision": git("rev-parse", "HEAD"), "dirty": bool(git("status", "--porcelain"))}
+
+
+def versions(names: tuple[str, ...] = ("pyspark", "pyarrow", "pandas", "numpy")) -> dict[str, str]:
+    from importlib import metadata
+
+    out = {}
+    for name in names:
+        try:
+            out[name] = metadata.version(name)
+        except metadata.PackageNotFoundError:
+            out[name] = "absent"
+    return out

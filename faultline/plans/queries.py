@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions import gmpe
 from faultline.functions import scalar as S
-from faultline.operators import dedup, facts, joins, quality, review, splits, stats, waveform, windows
+from faultline.operators import dedup, facts, joins, quality, reports, review, splits, stats, validation, waveform, windows
 from faultline.operators import kernels as K
 from faultline.plans import bindings as B
 from faultline.plans.bindings import catalog, features, fetch_log, km, r6, round6, stations, table, traces
@@ -339,9 +339,16 @@ def early_warning_task(spark, d):
 
 
 # --- waveforms ---
-@query(f"with {B.TRACES} select file, channel, {round6('list_max(list_transform(samples, lambda x: abs(x))) / 981e-2', 5)} as peak, false as clipped from traces")
+_CLIPPED = "coalesce(len(samples) >= 10 and {top} > 0 and len(list_filter(samples, lambda x: abs(x) >= {top} * 999e-3)) > greatest(5, len(samples) * 1e-2), false)"
+
+
+@query(f"with {B.TRACES} select file, channel, {round6('list_max(list_transform(samples, lambda x: abs(x))) / 981e-2', 5)} as peak, clipped(samples, top) as clipped, clipped(samples, top * 5e-1) as clipped_at_half from (select *, list_max(list_transform(samples, lambda x: abs(x))) as top from traces)".replace(
+    "clipped(samples, top)", _CLIPPED.format(top="top")).replace("clipped(samples, top * 5e-1)", _CLIPPED.format(top="top * 5e-1")))
 def trace_peaks(spark, d):
-    return traces(spark, d).select("file", "channel", S.np_round(waveform.peak(F.col("samples")) / S.GRAVITY, 5).alias("peak"), waveform.clipped(F.col("samples")).alias("clipped"))
+    half = F.col("top") * 0.5
+    limited = F.transform("samples", lambda x: F.least(F.greatest(x, -half), half))
+    t = traces(spark, d).withColumn("top", waveform.peak(F.col("samples")))
+    return t.select("file", "channel", S.np_round(F.col("top") / S.GRAVITY, 5).alias("peak"), waveform.clipped(F.col("samples")).alias("clipped"), waveform.clipped(limited).alias("clipped_at_half"))
 
 
 @query(f"""with {B.TRACES}, x as (select file, channel, i, samples[i] as a, sum(samples[i] * samples[i]) over (partition by file, channel order by i) as e, sum(samples[i] * samples[i]) over (partition by file, channel) as t from traces, unnest(range(1, 65)) as u(i))
@@ -360,9 +367,13 @@ def horizontal_peaks(spark, d):
     return out.select("file", *(S.np_round(F.col(c), 5).alias(c) for c in ("h1", "h2", "v", "geomean", "rotd50")))
 
 
-@query("select cast(vec_id // 3 as varchar) as file, case vec_id % 3 when 0 then 'HNE' when 1 then 'HNN' else 'HNZ' end as channel, 1 as pieces, 0 as gaps, 0e0 as missing_sec from embeddings")
+@query("select cast(vec_id // 3 as varchar) as file, case vec_id % 3 when 0 then 'HNE' when 1 then 'HNN' else 'HNZ' end as channel, 2 as pieces, cast(vec_id % 4 > 0 as int) as gaps, vec_id % 4 / 1e2 as missing_sec from embeddings")
 def trace_gaps(spark, d):
-    return waveform.gap_stats(traces(spark, d))
+    """Each trace is two pieces, with none to three samples missing between them."""
+    v, t = F.col("vec_id"), table(spark, d, "embeddings")
+    channel = F.when(v % 3 == 0, "HNE").when(v % 3 == 1, "HNN").otherwise("HNZ")
+    pieces = F.explode(F.array(*(F.struct(F.timestamp_micros(F.lit(1_600_000_000_000_000) + at).alias("start_ts"), F.slice(F.col("embedding").cast("array<double>"), start, n).alias("samples")) for at, start, n in ((F.lit(0), 1, 20), ((v % 4 + 20) * 10_000, 21, 44))))).alias("p")
+    return waveform.gap_stats(t.select(F.call_function("div", v, F.lit(3)).cast("string").alias("file"), channel.alias("channel"), F.lit(100.0).alias("sampling_rate_hz"), pieces).select("file", "channel", "sampling_rate_hz", "p.*"))
 
 
 @query()
@@ -429,12 +440,23 @@ def ols_one_feature(spark, d):
     return spark.createDataFrame([(round(float(k[0]), 6), round(float(k[1]), 6))], "slope double, intercept double")
 
 
-@query()
+def _linear(train: str = "true") -> str:
+    """k1, k2, k3 and the intercept k0 of ``o`` (y, x1, x2, x3) by Cramer's rule on covariances, as table ``k``."""
+    return f"""c as (select avg(y) as ym, avg(x1) as m1, avg(x2) as m2, avg(x3) as m3, covar_pop(x1, x1) as s11, covar_pop(x1, x2) as s12, covar_pop(x1, x3) as s13, covar_pop(x2, x2) as s22, covar_pop(x2, x3) as s23, covar_pop(x3, x3) as s33,
+covar_pop(x1, y) as b1, covar_pop(x2, y) as b2, covar_pop(x3, y) as b3 from o where {train}),
+k3 as (select *, s11 * (s22 * s33 - s23 * s23) - s12 * (s12 * s33 - s23 * s13) + s13 * (s12 * s23 - s22 * s13) as det, b1 * (s22 * s33 - s23 * s23) - s12 * (b2 * s33 - s23 * b3) + s13 * (b2 * s23 - s22 * b3) as d1,
+s11 * (b2 * s33 - s23 * b3) - b1 * (s12 * s33 - s23 * s13) + s13 * (s12 * b3 - b2 * s13) as d2, s11 * (s22 * b3 - b2 * s23) - s12 * (s12 * b3 - b2 * s13) + b1 * (s12 * s23 - s22 * s13) as d3 from c),
+k as (select ym, d1 / det as k1, d2 / det as k2, d3 / det as k3, ym - m1 * d1 / det - m2 * d2 / det - m3 * d3 / det as k0 from k3)"""
+
+
+@query(f"""with {_GMPE}, o as (select log10(pga_g) as y, m as x1, log10(r) as x2, log10(v30) as x3 from g2), {_linear()}, s as (select y, y - (k0 + k1 * x1 + k2 * x2 + k3 * x3) as r from o, k)
+select count(*) as n, {round6("sqrt(avg(r * r))")} as rmse, {round6("avg(abs(r))")} as mae, {round6("avg(r)")} + 0 as bias, {round6("stddev_pop(r)")} as std, {round6("1 - sum(r * r) / (var_pop(y) * count(*))")} as r2, {round6("stddev_pop(y)")} as naive_rmse from s""")
 def ols_three_features(spark, d):
     f = with_model(spark, d)
     x = [F.col("magnitude"), F.log10("r"), F.log10("vs30_ms")]
     k = stats.ols(f, F.log10("pga_g"), x)
-    return stats.regression_scores(f, F.log10("pga_g"), stats.predict(k, x))
+    s = stats.regression_scores(f, F.log10("pga_g"), stats.predict(k, x))
+    return s.select("n", *((S.np_round(F.col(c), 6) + 0.0).alias(c) for c in ("rmse", "mae", "bias", "std", "r2", "naive_rmse")))
 
 
 @query()
@@ -470,7 +492,10 @@ def record_counts(spark, d):
 # --- quality ---
 def _dataset(spark, d):
     e = facts.with_magnitudes(catalog(spark, d))
-    return e.withColumns({"has_waveform": F.lit(True), "num_waveform_files": F.col("depth_km").cast("long"), "magnitude_agreement_std": F.lit(0.1), "reported_by": F.col("source")})
+    return e.withColumns({
+        "has_waveform": F.lit(True), "num_waveform_files": F.col("depth_km").cast("long"), "magnitude_agreement_std": F.col("magnitude") - 4.0,
+        "reported_by": F.when(F.col("depth_km") != 7, F.col("source")), "mw_estimate": F.when(F.col("depth_km") == 3, 5.0).otherwise(F.col("mw_estimate")),
+    })
 
 
 
@@ -485,7 +510,8 @@ _SIZE = " union all ".join(f"""select '{n}_not_empty' as "check", count(*) > 0 a
 @query(f"with {B.CATALOG}, {B.STATIONS}, {B.FEATURES} {_SIZE} union all " + _checks([
     ("event_id_unique", "count(*) - count(distinct event_id)", "from catalog"), ("no_missing_critical", "count_if(magnitude is null or latitude is null or longitude is null or t_us is null)", "from catalog"),
     ("magnitude_range", "count_if(not magnitude between 0 and 10)", "from catalog"), ("inside_region", "count_if(not (latitude between 34 and 44 and longitude between 24 and 46))", "from catalog"),
-    ("depth_not_negative", "count_if(depth_km < 0)", "from catalog"), ("waveform_flag_consistent", "count_if(depth_km = 0)", "from catalog"), ("mw_only_for_known_scales", "0::bigint", ""), ("agreement_not_negative", "0::bigint", ""), ("reported_by_present", "0::bigint", ""),
+    ("depth_not_negative", "count_if(depth_km < 0)", "from catalog"), ("waveform_flag_consistent", "count_if(depth_km = 0)", "from catalog"), ("mw_only_for_known_scales", f"count_if(case when depth_km = 3 then 5e0 else {B.MW} end is not null and {B.SCALE} not in ('local_magnitude', 'moment_magnitude'))", "from catalog"),
+    ("agreement_not_negative", "count_if(magnitude - 4 < 0)", "from catalog"), ("reported_by_present", "count_if(depth_km = 7)", "from catalog"),
     ("station_coordinates_present", "count_if(latitude is null or longitude is null)", "from stations"), ("vs30_range", "count_if(not vs30_ms between 100 and 2000)", "from stations"), ("site_class_domain", "count_if(nehrp_site_class not in ('A','B','C','D','E'))", "from stations"),
     ("pga_not_negative", "count_if(pga_g < 0)", "from features"), ("one_row_a_file", "count(*) - count(distinct file)", "from features"),
 ]))
@@ -493,19 +519,38 @@ def checks_structural(spark, d):
     return quality.structural(_dataset(spark, d), stations(spark, d), features(spark, d))
 
 
-@query(f"""with {_FACTS} select 'event_station_not_empty' as "check", count(*) > 0 as passed, count(*) as detail from facts union all """ + _checks([
-    ("event_station_unique", "count(*) - count(distinct (event_id, station))", "from facts"), ("epicentral_recomputed", "count_if(epicentral_distance_km is null)", "from facts"), ("hypocentral_not_less", "count_if(hypocentral_distance_km is null)", "from facts"),
+@query(f"""with {_FACTS}, moved as (select *, epicentral_distance_km + case when station::int % 9 = 0 then 5e0 else 0e0 end as e from facts) select 'event_station_not_empty' as "check", count(*) > 0 as passed, count(*) as detail from facts union all """ + _checks([
+    ("event_station_unique", "count(*) - count(distinct (event_id, station))", "from facts"), ("epicentral_recomputed", f"count_if(not coalesce(abs({km('event_latitude', 'event_longitude', 'station_latitude', 'station_longitude')} - e) <= 1, false))", "from moved"),
+    ("hypocentral_not_less", "count_if(not coalesce(hypocentral_distance_km >= e - 1e-2, false))", "from moved"),
 ]))
 def checks_geometry(spark, d):
-    return quality.geometry(event_station(spark, d))
+    moved = F.when(F.col("station").cast("int") % 9 == 0, 5.0).otherwise(0.0)
+    return quality.geometry(event_station(spark, d).withColumn("epicentral_distance_km", F.col("epicentral_distance_km") + moved))
+
 
+_BROKEN = """x as (select * replace (case when duration_sec = 1 then 0e0 else highpass_corner_hz end as highpass_corner_hz, case when duration_sec = 2 then 'broadband' else instrument_type_used end as instrument_type_used,
+case when duration_sec = 3 then pga_h1_g * 15e-1 else pga_geomean_g end as pga_geomean_g, case when duration_sec = 4 then 9e0 else pga_rotd50_g end as pga_rotd50_g, case when duration_sec = 5 then pga_g * 8 else pga_g end as pga_g,
+case when duration_sec = 6 then pgv_cms * 1000 else pgv_cms end as pgv_cms, case when duration_sec = 7 then p_pick_time - 1 else s_pick_time end as s_pick_time) from features)"""
 
-@query(f"with {B.FEATURES} " + _checks([
-    ("pga_below_4g", "count_if(pga_g > 4)", "from features"), ("pgv_below_500", "count_if(pgv_cms > 500)", "from features"), ("corner_recorded", "0::bigint", ""), ("engineering_is_strong_motion", "0::bigint", ""),
-    ("geomean_between", "0::bigint", ""), ("rotd50_bounded", "0::bigint", ""), ("pga_is_largest_component", "0::bigint", ""), ("s_after_p", "count_if(s_pick_time <= p_pick_time)", "from features"),
+
+def broken_features(spark, d):
+    """Features that break each rule now and then."""
+    c, at = F.col, lambda n, value, name: F.when(F.col("duration_sec") == n, value).otherwise(F.col(name)).alias(name)
+    return features(spark, d).withColumns({
+        "highpass_corner_hz": at(1, F.lit(0.0), "highpass_corner_hz"), "instrument_type_used": at(2, F.lit("broadband"), "instrument_type_used"), "pga_geomean_g": at(3, c("pga_h1_g") * 1.5, "pga_geomean_g"),
+        "pga_rotd50_g": at(4, F.lit(9.0), "pga_rotd50_g"), "pga_g": at(5, c("pga_g") * 8, "pga_g"), "pgv_cms": at(6, c("pgv_cms") * 1000, "pgv_cms"), "s_pick_time": at(7, c("p_pick_time") - 1, "s_pick_time"),
+    })
+
+
+@query(f"with {B.FEATURES}, {_BROKEN} " + _checks([
+    ("pga_below_4g", "count_if(pga_g > 4)", "from x"), ("pgv_below_500", "count_if(pgv_cms > 500)", "from x"), ("corner_recorded", "count_if(pga_g is not null and not coalesce(highpass_corner_hz > 0, false))", "from x"),
+    ("engineering_is_strong_motion", "count_if(usable_for_engineering and instrument_type_used <> 'strong_motion')", "from x"),
+    ("geomean_between", "count_if(not (pga_geomean_g between least(pga_h1_g, pga_h2_g) - 2e-5 and greatest(pga_h1_g, pga_h2_g) + 2e-5))", "from x"),
+    ("rotd50_bounded", "count_if(not (pga_rotd50_g between 0 and sqrt(pga_h1_g * pga_h1_g + pga_h2_g * pga_h2_g) + 2e-5))", "from x"),
+    ("pga_is_largest_component", "count_if(abs(pga_g - greatest(pga_h1_g, pga_h2_g, pga_v_g)) > 2e-5)", "from x"), ("s_after_p", "count_if(s_pick_time <= p_pick_time)", "from x"),
 ]))
 def checks_features(spark, d):
-    f = features(spark, d)
+    f = broken_features(spark, d)
     return quality.union_all([quality.plausibility(f), quality.horizontal(f), quality.phase_order(f)])
 
 
@@ -516,12 +561,18 @@ def checks_leakage(spark, d):
     return quality.leakage(g, g.select(F.lit("event_split").alias("task"), splits.hash_split(F.col("event_id")).alias("split"), "event_id"))
 
 
-@query("""select 'station_disjoint' as "check", true as passed, 0::bigint as detail union all select 'station_present', true, 0 union all select 'splits_not_empty', true, 0 union all select 'train_before_cutoff', true, 0 union all select 'test_from_cutoff', true, 0""")
+@query(f"""with {B.FEATURES}, c as (select station, count(*) as n from features group by all), o as (select *, (sum(n) over (order by md5('station_' || station) rows unbounded preceding) - n / 2e0) / sum(n) over () as mid from c),
+s as (select case when duration_sec = 1 then null else station end as station, case when duration_sec = 2 and station::int % 5 = 0 then 'test' else {_SPLIT.format(f="mid")} end as split from features join o using (station)),
+shared as (select station, count(distinct split) as k from s where station is not null group by all), t as (select ts, case when ts < timestamp '2024-01-15' then 'train' else 'test' end as split from events) """ + _checks([
+    ("station_disjoint", "count_if(k > 1)", "from shared"), ("station_present", "count_if(station is null)", "from s"), ("splits_not_empty", "3 - count(distinct split)", "from s"),
+    ("train_before_cutoff", "count_if(split = 'train' and ts >= timestamp '2024-01-10')", "from t"), ("test_from_cutoff", "count_if(split = 'test' and ts < timestamp '2024-01-10')", "from t"),
+]))
 def checks_holdouts(spark, d):
     f = features(spark, d)
-    by_station = f.select("station").join(splits.station_split(f).select("station", "split"), "station")
+    moved = F.when((F.col("duration_sec") == 2) & (F.col("station").cast("int") % 5 == 0), "test").otherwise(F.col("split"))
+    by_station = f.join(splits.station_split(f).select("station", "split"), "station").select(F.when(F.col("duration_sec") != 1, F.col("station")).alias("station"), moved.alias("split"))
     by_time = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("time_utc"), splits.time_split(F.col("ts").cast("timestamp"), "2024-01-15").alias("split"))
-    return quality.station_holdout(by_station).unionByName(quality.time_holdout(by_time, "2024-01-15"))
+    return quality.station_holdout(by_station).unionByName(quality.time_holdout(by_time, "2024-01-10"))
 
 
 @query(f"""with {B.LOG}, {B.FEATURES} select 'log_matches_files' as "check", a = b as passed, abs(a - b)::bigint as detail from (select count_if(status = 'ok') as a from fetch_log), (select count(*) as b from features)""")
@@ -585,11 +636,11 @@ def session_window_groups(spark, d):
     return streams.session_groups(catalog(spark, d)).select("window_group", "n")
 
 
-@query("""select o_orderkey, case when try_cast(replace(o_orderpriority, '-', '') as double) is null then null end as coerced, case when o_totalprice between 1000 and 100000 then o_totalprice end as price from orders""")
+@query("""select o_orderkey, case when o_orderkey % 3 = 0 then cast(o_custkey as double) end as coerced, case when o_totalprice between 1000 and 100000 then o_totalprice end as price from orders""")
 def strict_coercion(spark, d):
     from faultline.sources import tables
 
-    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("coerced"), F.col("o_totalprice").alias("price"))
+    o = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit(" "), F.col("o_custkey").cast("string"), F.lit(" "))).otherwise(F.col("o_orderpriority")).alias("coerced"), F.col("o_totalprice").alias("price"))
     return tables.strict(o, {"coerced": "double", "price": "double"}, {"price": (1000.0, 100000.0)})
 
 
@@ -608,3 +659,100 @@ def aligned_splits(spark, d):
 def site_enrichment(spark, d):
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_acctbal").alias("vs30_ms"))
     return s.withColumn("nehrp_site_class", S.site_class(F.col("vs30_ms")))
+
+
+# --- composed reports ---
+_SPLIT_FACTS = f"""{_FACTS}, sf as (select *, {_SPLIT.format(f=_FRACTION.format(k='event_id'))} as split from facts)"""
+_MATCHED = f"""a as (select cast(l_orderkey as varchar) as event_id, cast(l_suppkey as varchar) as station, epoch_us(l_shipdate) + l_linenumber * 700000 as t from lineitem where l_linenumber % 2 = 1),
+pick as (select event_id, station, split, snr_db as c, abs(p_pick_time - t) / 1e6 as e from a join sf using (event_id, station) where p_pick_time is not null)"""
+
+
+def split_facts(spark, d):
+    return event_station(spark, d).withColumn("split", splits.hash_split(F.col("event_id")))
+
+
+def picks(spark, d):
+    x = table(spark, d, "lineitem")
+    at = F.timestamp_micros(F.unix_micros(F.col("l_shipdate").cast("timestamp")) + F.col("l_linenumber") * 700_000)
+    analyst = x.select(F.col("l_orderkey").cast("string").alias("event_id"), F.col("l_suppkey").cast("string").alias("station"), F.when(F.col("l_linenumber") % 2 == 1, "P").otherwise("S").alias("phase_type"), at.alias("pick_time"))
+    automatic = split_facts(spark, d).withColumn("p_pick_time", F.timestamp_micros("p_pick_time")).withColumn("p_pick_confidence", F.col("snr_db"))
+    return reports.matched_picks(analyst, automatic, "P")
+
+
+@query(f"with {_SPLIT_FACTS}, {_MATCHED} select event_id, station, split, {round6('c')} as confidence, {round6('e')} as abs_error_sec from pick")
+def matched_picks(spark, d):
+    return picks(spark, d).select("event_id", "station", "split", r6("confidence"), r6("abs_error_sec"))
+
+
+@query(f"""with {_SPLIT_FACTS}, {_MATCHED}, mid as (select split, median(c) as m from pick group by all) select split, count(e) as n_matched, {round6("avg(e)")} as mean_abs_error_sec, {round6("median(e)")} as median_abs_error_sec,
+{round6("quantile_cont(e, 9e-1)")} as p90_abs_error_sec, {round6("max(e)")} as max_abs_error_sec, {round6("avg(cast(e > 1 as int))")} as fraction_over_1s, {round6("avg(e) filter (c >= m)")} as mean_abs_error_high_confidence,
+{round6("avg(e) filter (c < m)")} as mean_abs_error_low_confidence, count_if(c >= m) as n_high_confidence, count_if(c < m) as n_low_confidence from pick join mid using (split) group by split""")
+def pick_report(spark, d):
+    out = reports.pick_report(picks(spark, d))
+    return out.select("split", *(c if c.startswith("n_") else r6(c) for c in out.columns[1:]))
+
+
+@query()
+def score_split(spark, d):
+    f = split_facts(spark, d)
+    return reports.score_split(f.where("split = 'train'"), f.where("split <> 'train'"))
+
+
+_MODELLED = f"""{_SPLIT_FACTS}, g0 as (select split, event_id, pga_g, hypocentral_distance_km as h, magnitude as m, greatest(hypocentral_distance_km, 1) as r, vs30_ms as v30 from sf where vs30_ms is not null),
+g1 as (select *, {_LN} as lr, least(v30, 1000) / 750e0 as v from g0),
+g2 as (select *, exp(lr + -41997e-5 * ln(v) + case when v30 < 750 then -28846e-5 * ln((exp(lr) + 25e-1 * pow(v, 32e-1)) / ((exp(lr) + 25e-1) * pow(v, 32e-1))) else 0 end) as pred from g1)"""
+
+
+def modelled(spark, d):
+    return with_model(spark, d).withColumn("split", splits.hash_split(F.col("event_id")))
+
+
+@query(f"""with {_MODELLED}, s as (select split, event_id, h, log10(pga_g) - log10(pred) as r from g2), w as (select 'all' as grouping, split as value, * from s union all select 'within_200_km', split, * from s where h <= 200)
+select grouping, value, count(*) as n, count(distinct event_id) as n_events, {round6("sqrt(avg(r * r))")} as rmse, {round6("avg(r)")} as bias, {round6("stddev_pop(r)")} as std from w group by grouping, value""".replace("grouping", '"grouping"'))
+def model_report(spark, d):
+    f = modelled(spark, d)
+    return reports.model_report(f, gmpe.log_residual(F.col("pga_g"), F.col("pred"))).select("grouping", "value", "n", "n_events", r6("rmse"), r6("bias"), r6("std"))
+
+
+@query(f"""with {_MODELLED}, o as (select split, log10(pga_g) as y, log10(pga_g) - log10(pred) as r, m as x1, log10(h) as x2, log10(v30) as x3 from g2 where pga_g > 0), {_linear("split = 'train'")},
+t as (select r, y - (k0 + k1 * x1 + k2 * x2 + k3 * x3) as s from o, k where split <> 'train') select count(*) as n, {round6("sqrt(avg(r * r))")} as model_rmse, {round6("stddev_pop(r)")} as unbiased_rmse, {round6("sqrt(avg(s * s))")} as linear_rmse from t""")
+def model_comparison(spark, d):
+    f = modelled(spark, d)
+    return reports.model_comparison(f.where("split = 'train'"), f.where("split <> 'train'"), F.log10("pred")).select("n", r6("model_rmse"), r6("unbiased_rmse"), r6("linear_rmse"))
+
+
+@query(f"""with {B.CATALOG}, {B.STATIONS}, began as (select *, case when station::int % 5 > 0 then epoch_us(timestamp '2024-01-01') + (station::int % 30) * 86400000000 end as since from stations where has_strong_motion),
+pair as (select event_id, station, {round6(km("e.latitude", "e.longitude", "s.latitude", "s.longitude"))} as distance_km from catalog e, began s where e.magnitude >= 45e-1 and (s.since is null or s.since <= e.t_us))
+select * from (select event_id, station, distance_km, row_number() over (partition by event_id order by distance_km, station) as rank from pair where distance_km <= 400) where rank <= 12""")
+def k_nearest_installed(spark, d):
+    e = catalog(spark, d).where("magnitude >= 4.5").select("event_id", "latitude", "longitude", F.unix_micros("time_utc").alias("t_us"))
+    number = F.col("station").cast("int")
+    since = F.when(number % 5 > 0, F.lit(1_704_067_200_000_000) + (number % 30).cast("long") * 86_400_000_000).alias("since")
+    s = stations(spark, d).where("has_strong_motion").select("station", F.col("latitude").alias("slat"), F.col("longitude").alias("slon"), since)
+    distance = S.np_round(S.haversine_km(F.col("latitude"), F.col("longitude"), F.col("slat"), F.col("slon")), 6)
+    return joins.k_nearest(e, s, "event_id", "station", distance, 12, 400.0, joins.installed(F.col("t_us"), F.col("since"))).select("event_id", "station", "distance_km", "rank")
+
+
+@query(f"""with {B.LOG}, {B.CATALOG}, ok as (select event_id, string_agg(distinct station, ',' order by station) as stations from (select event_id, cast(n % 13 as varchar) as station from fetch_log where status = 'ok') group by all)
+select event_id, stations, {round6("latitude")} as latitude, {round6("magnitude")} as magnitude from ok join catalog using (event_id)""")
+def target_events(spark, d):
+    log = fetch_log(spark, d).withColumn("station", (F.col("n") % 13).cast("string"))
+    return joins.target_events(log, catalog(spark, d)).select("event_id", F.array_join("stations", ",").alias("stations"), r6("latitude"), r6("magnitude"))
+
+
+@query(f"""with {B.CATALOG} select source, case when n > 0 then 'catalog_records_observed' else 'catalog_source_status_unverified' end as status from (values ('usgs'), ('isc'), ('emsc'), ('other')) as k(source) left join (select source, count(*) as n from catalog group by all) using (source)
+union all select 'stations', case when count(vs30_ms) > 0 then 'vs30_values_observed' else 'no_vs30_values_observed' end from (select * from supplier), lateral (select 150e0 + abs(s_acctbal) / 10e0 as vs30_ms)""")
+def source_statuses(spark, d):
+    from faultline.operators import provenance
+
+    kinds = {"usgs": "catalog", "isc": "catalog", "emsc": "catalog", "other": "catalog", "stations": "sites"}
+    return provenance.source_statuses(provenance.lineage_counts(catalog(spark, d), stations(spark, d)), kinds)
+
+
+@query()
+def validation_report(spark, d):
+    """Every check over one data set; each check's SQL is that of the checks_ queries."""
+    g = windows.sessionize(catalog(spark, d).select("event_id", "t_sec"), "event_id", "t_sec").select("event_id", "window_group")
+    f = event_station(spark, d).join(g, "event_id", "left")
+    named = g.select(F.lit("event_split").alias("task"), splits.hash_split(F.col("event_id")).alias("split"), "event_id")
+    return validation.validate(_dataset(spark, d), stations(spark, d), broken_features(spark, d), f, {"events": named}, features(spark, d).select(F.col("file").alias("path")), fetch_log(spark, d))

@@ -7,18 +7,102 @@ connection there at first use, and retries. Without a network the same source re
 from __future__ import annotations
 
 import json
+import os
 import time
+import uuid
 from collections.abc import Callable, Iterable, Iterator
+from datetime import UTC, datetime
+from pathlib import Path
+from urllib.parse import quote, urlencode
+from urllib.request import urlopen
+from xml.etree import ElementTree
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-_FETCHERS: dict[str, Callable[..., Iterable[tuple]]] = {}
-
-
-def register_fetcher(name: str, fetch: Callable[..., Iterable[tuple]]) -> None:
-    _FETCHERS[name] = fetch
+#: Where and from when the catalogue is asked for (fixed values).
+BOX = {"minlatitude": 35.0, "maxlatitude": 43.0, "minlongitude": 25.0, "maxlongitude": 45.5}
+LEAST_MAGNITUDE, FIRST_YEAR = 3.0, 1990
+
+
+def year_requests(agencies: list[str], first: int = FIRST_YEAR, last: int | None = None) -> list[dict]:
+    """A request for each agency and year, both ends included."""
+    last = last or time.gmtime().tm_year
+    return [{"agency": a, "year": y} for a in agencies for y in range(first, last + 1)]
+
+
+def query_url(base: str, year: int, box: dict[str, float] | None = None, least: float = LEAST_MAGNITUDE, form: str = "geojson") -> str:
+    """An event web service's query for a calendar year."""
+    words = {"format": form, "starttime": f"{year}-01-01", "endtime": f"{year}-12-31", "minmagnitude": least, **(box or BOX)}
+    return f"{base}?{urlencode(words)}"
+
+
+def download(url: str, seconds: float = 60.0) -> bytes:
+    with urlopen(url, timeout=seconds) as answer:  # noqa: S310
+        return answer.read() if answer.status == 200 else b""  # 204: no events
+
+
+def _texts(parent: ElementTree.Element, path: str) -> str | None:
+    found = parent
+    for step in path.split("/"):
+        found = next((c for c in found if c.tag.rpartition("}")[2] == step), None)
+        if found is None:
+            return None
+    return (found.text or "").strip() or None
+
+
+def quakeml_events(content: bytes, source: str) -> list[tuple]:
+    """Rows of ``tables.RAW`` of a QuakeML document.
+
+    An event's preferred origin and magnitude count, else its first ones; an event without either is left
+    out. Depths come in metres, a missing one is 0; magnitude types are lower-cased, a missing one is empty.
+    An empty document has no events.
+    """
+    rows = []
+    for event in ElementTree.fromstring(content).iter() if content.strip() else ():
+        if event.tag.rpartition("}")[2] != "event":
+            continue
+        chosen = {}
+        for kind, wish in (("origin", "preferredOriginID"), ("magnitude", "preferredMagnitudeID")):
+            every = [c for c in event if c.tag.rpartition("}")[2] == kind]
+            chosen[kind] = next((c for c in every if c.get("publicID") == _texts(event, wish)), every[0] if every else None)
+        origin, magnitude = chosen["origin"], chosen["magnitude"]
+        if origin is None or magnitude is None:
+            continue
+        number = lambda at, path: float(v) if (v := _texts(at, path)) is not None else None
+        at = datetime.fromisoformat((_texts(origin, "time/value") or "").replace("Z", "+00:00"))
+        at = at if at.tzinfo else at.replace(tzinfo=UTC)
+        rows.append((
+            event.get("publicID"), at, number(origin, "latitude/value"), number(origin, "longitude/value"), (number(origin, "depth/value") or 0.0) / 1000.0,
+            number(magnitude, "mag/value"), (_texts(magnitude, "type") or "").lower(), source,
+        ))
+    return rows
+
+
+def agency_events(bases: dict[str, str], get: Callable[[str], bytes] = download) -> Callable[..., list[tuple]]:
+    """The fetch function of event web services (agency: address of its query), for ``service`` with ``tables.RAW``."""
+
+    def fetch(agency: str, year: int) -> list[tuple]:
+        return quakeml_events(get(query_url(bases[agency], year, form="xml")), agency)
+
+    return fetch
+
+
+def kept(folder: str, key: str, fetch: Callable[[str], bytes], ending: str = "xml") -> bytes:
+    """What ``fetch`` gives for a key (a station's response), fetched once and kept in a shared folder.
+
+    The file appears whole or not at all, so tasks that fetch the same key at a time do not harm each other.
+    """
+    name = Path(folder) / f"{quote(key, safe='')}.{ending}"
+    if not name.exists():
+        content = fetch(key)
+        name.parent.mkdir(parents=True, exist_ok=True)
+        part = name.with_name(f".{name.name}.{uuid.uuid4().hex}")
+        part.write_bytes(content)
+        os.replace(part, name)
+        return content
+    return name.read_bytes()
 
 
 class Request(InputPartition):

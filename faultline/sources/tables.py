@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 ENV = "FAULTLINE_DATA_DIR"
 TASKS = {"ground_motion": (None, "station", "time"), "phase_picking": (None,), "early_warning": (None,)}
@@ -56,7 +56,7 @@ def strict(df: DataFrame, required: dict[str, str], ranges: dict[str, tuple[floa
 
 
 def normalize(df: DataFrame, schema: StructType) -> DataFrame:
-    """Columns of ``schema`` in order: milliseconds become timestamps, missing columns are NULL, rows are by time."""
+    """Columns of ``schema`` in order: milliseconds become timestamps, missing columns are NULL, rows are by ``time_utc`` where there is one."""
     out = []
     for f in schema.fields:
         if f.name not in df.columns:
@@ -65,7 +65,8 @@ def normalize(df: DataFrame, schema: StructType) -> DataFrame:
             out.append(F.timestamp_millis(F.col(f.name).cast("long")).alias(f.name))
         else:
             out.append(F.col(f.name).cast(f.dataType).alias(f.name))
-    return df.select(*out)
+    rows = df.select(*out)
+    return rows.orderBy("time_utc") if "time_utc" in rows.columns else rows
 
 
 def benchmark_path(task: str, split: str, holdout: str | None = None, base: str = "benchmarks") -> str:
@@ -156,5 +157,13 @@ def cached(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> Dat
     return spark.read.parquet(path)
 
 
-def is_text(df: DataFrame, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, StringType)
+def _loader(name: str) -> Callable[..., DataFrame]:
+    def load(spark: SparkSession, path: str | None = None, data_dir: str | None = None, schema: str | StructType | None = None) -> DataFrame:
+        return scan(spark, resolve(path, data_dir, name), schema)
+
+    load.__name__ = load.__qualname__ = f"load_{name}"
+    load.__doc__ = f"The table ``{name}``: of ``path``, else of ``data_dir``, else of the environment's folder."
+    return load
+
+
+load_catalog, load_event_station, load_features, load_stations = (_loader(n) for n in ("catalog", "event_station", "features", "stations"))
