@@ -66,8 +66,10 @@ def test_strict_scan_and_log(spark, tmp_path):
 
 def run(stream, spark, name):
     q = stream.writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
-    threading.Timer(120, q.stop).start()
+    guard = threading.Timer(120, q.stop)
+    guard.start()
     q.awaitTermination()
+    guard.cancel()
     return spark.table(name)
 
 
