@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.functions.scalar import haversine_term, term_km
+from faultline.functions.scalar import haversine_km
 
 #: Rows of the smaller side that are broadcast at once; a larger side is taken in blocks of this size.
 BROADCAST_ROWS = 50_000
@@ -51,6 +51,8 @@ def nearest(points: DataFrame, places: DataFrame, key: str, flags: dict[str, Col
     Distinct positions are solved once and joined back. ``places`` (key, latitude, longitude, columns
     of the flags) is counted: up to ``BROADCAST_ROWS`` rows it is one broadcast, beyond that it is
     taken in blocks of that size whose winners are then compared, which is exact at any size.
+    Distances are compared to a micrometre, and equal ones by key: places just as far in two directions
+    differ in the last bits of a double only.
     """
     where = points.select(F.col(lat).alias("__lat"), F.col(lon).alias("__lon")).distinct()
     n = places.count()
@@ -58,15 +60,15 @@ def nearest(points: DataFrame, places: DataFrame, key: str, flags: dict[str, Col
     found = None
     for block in blocks:
         pairs = where.join(F.broadcast(block), F.lit(True), "left")
-        term = haversine_term(F.col("__lat"), F.col("__lon"), F.col("latitude"), F.col("longitude"))
-        aggs = [F.min(F.when(flag, F.struct(term.alias("d"), F.col(key).alias("k")))).alias(name) for name, flag in flags.items()]
+        d = F.rint(haversine_km(F.col("__lat"), F.col("__lon"), F.col("latitude"), F.col("longitude")) * 1e9)
+        aggs = [F.min(F.when(flag, F.struct(d.alias("d"), F.col(key).alias("k")))).alias(name) for name, flag in flags.items()]
         best = pairs.groupBy("__lat", "__lon").agg(*aggs)
         found = best if found is None else found.unionByName(best)
     if len(blocks) > 1:
         found = found.groupBy("__lat", "__lon").agg(*(F.min(name).alias(name) for name in flags))
     out = []
     for name in flags:
-        out += [F.col(f"{name}.k").alias(name), term_km(F.col(f"{name}.d")).alias(f"{name}_distance_km")]
+        out += [F.col(f"{name}.k").alias(name), (F.col(f"{name}.d") / 1e9).alias(f"{name}_distance_km")]
     found = found.select("__lat", "__lon", *out)
     return points.join(found, points[lat].eqNullSafe(found["__lat"]) & points[lon].eqNullSafe(found["__lon"]), "left").drop("__lat", "__lon")
 

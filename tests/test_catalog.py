@@ -165,6 +165,16 @@ def test_nearest_of_random_places(spark):
     assert {r.sm for r in joins.nearest(e, s.where("not has_strong_motion"), "station", flags).collect()} == {None}
 
 
+def test_nearest_of_equal_distances_is_the_first_key(spark):
+    """Places as far to the north as to the south, whose terms differ in the last bits."""
+    e = spark.range(10).select(F.col("id").alias("event_id"), (38.0 + F.col("id") * 0.1).alias("latitude"), F.lit(36.0).alias("longitude"))
+    s = spark.range(80).select(F.format_string("s%02d", (F.col("id") * 37) % 80).alias("station"), (F.lit(37.05) + F.col("id") * 0.1).alias("latitude"), F.lit(36.0).alias("longitude"))
+    places = s.collect()
+    for r in joins.nearest(e, s, "station", {"any": F.lit(True)}).collect():
+        near = min((round(kilometres((r.latitude, r.longitude), x[1:3]), 6), x.station) for x in places)
+        assert (r["any"], round(r.any_distance_km, 6)) == (near[1], near[0])
+
+
 def test_nearest_in_blocks(spark, monkeypatch):
     e = spark.range(20).select(F.col("id").alias("event_id"), (35 + F.col("id") * 0.3).alias("latitude"), (30 + F.col("id") % 7).cast("double").alias("longitude"))
     s = spark.range(50).select(F.col("id").cast("string").alias("station"), (34 + F.col("id") * 0.17).alias("latitude"), (28 + F.col("id") % 11).cast("double").alias("longitude"))
