@@ -27,6 +27,11 @@ def np_round(x: Column, places: int) -> Column:
     return F.rint(x * F.lit(scale)) / F.lit(scale)
 
 
+def log10(x: Column) -> Column:
+    """As numpy and the SQL have it: -inf at zero, where Spark's own gives NULL and aggregates skip the row."""
+    return F.when(x == 0, F.lit(-math.inf)).otherwise(F.log10(x))
+
+
 def null_nan(df: DataFrame, *names: str) -> DataFrame:
     """NaN to NULL, so that comparisons and maxima treat it as missing."""
     pick = names or [f.name for f in df.schema.fields if isinstance(f.dataType, DoubleType | FloatType)]

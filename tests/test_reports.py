@@ -63,6 +63,15 @@ def test_score_split_is_least_squares(spark):
     assert c.linear_rmse == pytest.approx(got["linear_ols"].rmse) and c.model_rmse == pytest.approx(np.sqrt(((w + 1) ** 2).mean())) and c.unbiased_rmse == pytest.approx(w.std())
 
 
+def test_comparison_skips_no_row_at_distance_zero(spark):
+    (_, a), (rows, b) = motions(spark, 60, 1), motions(spark, 45, 2)
+    zero = spark.createDataFrame([("z", "s0", 4.0, 0.0, 300.0, 0.1)], b.schema)
+    want = [-1.0 - np.log10(p) for *_, v, p in rows if v and p > 0] + [0.0]
+    fitted, only_test = (reports.model_comparison(x, b.unionByName(zero), F.lit(-1.0)).first() for x in (a.unionByName(zero), a))
+    assert fitted.n == only_test.n == len(want) and fitted.model_rmse == pytest.approx(np.sqrt(np.mean(np.square(want))))
+    assert np.isnan(fitted.linear_rmse) and np.isinf(only_test.linear_rmse)
+
+
 def test_installed_and_targets(spark):
     df = spark.createDataFrame([(1, None), (1, 1), (1, 2)], "t int, start int")
     assert [r[0] for r in df.select(joins.installed(F.col("t"), F.col("start"))).collect()] == [True, True, False]
