@@ -109,6 +109,26 @@ def test_catalog_of_clusters(spark):
     assert {r.source_event_id: r.representative_event_id for r in ids.collect()} == {k: first(c) for c in clusters for k in c}
 
 
+def test_quality_of_large_clusters(spark):
+    """Against all pairs; positions on a circle and inside it, missing values, and differences at the middle of two roundings."""
+    rng = random.Random(5)
+    rows = [("half", "h0", 1704067200.000001, 38.0, 36.0, 4.0), ("half", "h1", 1704067255.075001, 38.0, 36.0, 4.5), ("one", "o", 5.0, 38.0, 36.0, 4.0)]
+    for n in range(60):
+        a, r = rng.uniform(0, 6.3), rng.choice([0.3, rng.random() * 0.3])
+        rows.append(("round", f"r{n}", rng.uniform(0, 99), 38 + r * math.sin(a), 36 + r * math.cos(a), rng.uniform(3, 5)))
+        rows.append(("gaps", f"g{n}", 7.0, None if n % 3 else 38.0 + n / 60, 36.0, None if n % 4 else 4.0 + n / 60))
+    got = {r.cluster_id: r for r in dedup.quality(spark.createDataFrame(rows, "cluster_id string, source_event_id string, t_sec double, latitude double, longitude double, magnitude double")).collect()}
+    assert got["one"][1:] == (1, 0.0, 0.0, 0.0, 1.0) and got["half"].cluster_max_time_diff_sec == 55.08  # 55.075 s
+    for c in ("round", "gaps"):
+        own = [x for x in rows if x[0] == c]
+        spread = lambda i: max(x[i] for x in own if x[i]) - min(x[i] for x in own if x[i])
+        km = max(kilometres(x[3:5], y[3:5]) for x in own if x[3] for y in own if y[3])
+        conf = 0.4 * max(0, 1 - spread(2) / 30) + 0.4 * max(0, 1 - km / limit(max(x[5] for x in own if x[5]))) + 0.2 * max(0, 1 - spread(5) / 1.5)
+        r = got[c]
+        assert r.cluster_size == 60 and abs(r.cluster_max_distance_km - km) < 0.006 and abs(r.cluster_max_magnitude_diff - spread(5)) < 0.006
+        assert abs(r.cluster_max_time_diff_sec - spread(2)) < 0.006 and abs(r.dedup_confidence - conf) < 0.002
+
+
 def test_distance(spark):
     rng = random.Random(1)
     places = [(rng.uniform(-90, 90), rng.uniform(-180, 180), rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(50)] + [(0.0, 0.0, 0.0, 180.0), (12.0, 7.0, 12.0, 7.0)]
