@@ -109,6 +109,41 @@ def test_catalog_of_clusters(spark):
     assert {r.source_event_id: r.representative_event_id for r in ids.collect()} == {k: first(c) for c in clusters for k in c}
 
 
+def brute_copies(classes, pairs):
+    """Node by node: equal scores by the places of both, which follow time, agency and id."""
+    nodes = sorted((t, s, k, c) for c, (t, s, ids) in enumerate(classes) for k in ids)
+    groups = {i: {i} for i in range(len(nodes))}
+    for _, i, j in sorted((-x, i, j) for x, a, b in pairs for i, e in enumerate(nodes) if e[3] == a for j, f in enumerate(nodes) if f[3] == b):
+        both = groups[i] | groups[j]
+        times = [nodes[k][0] for k in both]
+        if groups[i] is not groups[j] and len({nodes[k][1] for k in both}) == len(both) and max(times) - min(times) <= 30:
+            for k in both:
+                groups[k] = both
+    return {e[2]: nodes[min(groups[i])][2] for i, e in enumerate(nodes)}
+
+
+def test_copies_merge_as_if_paired_one_by_one():
+    rng = random.Random(12)
+    for _ in range(400):
+        names, classes = rng.sample(range(100, 999), 40), []
+        for _ in range(rng.randrange(2, 9)):
+            classes.append((rng.choice([0.0, 12.0, 25.0, 37.0, 50.0]), rng.choice("abcd"), sorted(f"r{names.pop()}" for _ in range(rng.randrange(1, 5)))))
+        before = lambda a, b: classes[a][:2] < classes[b][:2] and classes[a][1] != classes[b][1] and classes[b][0] - classes[a][0] <= 30
+        pairs = [(rng.choice([0.2, 0.5, 0.7, 1.0]), a, b) for a in range(len(classes)) for b in range(len(classes)) if before(a, b) and rng.random() < 0.8]
+        assert dedup.merge_greedily(classes, pairs) == brute_copies(classes, pairs)
+
+
+def test_copies_of_reports_make_no_pairs(spark, monkeypatch):
+    rng = random.Random(10)
+    events = [(k, t + rng.random() * 0.01, la + rng.random() * 0.01, lo, m, s) for k, t, la, lo, m, s in random_catalog(11, 25)]
+    copies = [(f"{e[0]}-{c}", *e[1:5], agency) for e in events for c, agency in enumerate(rng.choices(("usgs", "isc", "emsc"), k=6))]
+    df, linked, made = spark.createDataFrame(copies, SCHEMA), dedup.candidate_pairs, []
+    monkeypatch.setattr(dedup, "candidate_pairs", lambda x: made.append(linked(x)) or made[-1])
+    assert members(dedup.clusters(df.repartition(3))) == brute_clusters(copies)
+    distinct = list({e[1:]: e for e in copies}.values())
+    assert made[0].count() == len(links(distinct)[1]) < len(links(copies)[1]) / 3
+
+
 def test_quality_of_large_clusters(spark):
     """Against all pairs; positions on a circle and inside it, missing values, and differences at the middle of two roundings."""
     rng = random.Random(5)
