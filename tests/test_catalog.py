@@ -1,4 +1,5 @@
 import collections
+import hashlib
 import math
 import random
 
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultline.functions import scalar as S
-from faultline.operators import dedup, joins, windows
+from faultline.operators import dedup, joins, review, windows
 
 SCHEMA = "source_event_id string, t_sec double, latitude double, longitude double, magnitude double, source string"
 
@@ -144,6 +145,33 @@ def test_copies_of_reports_make_no_pairs(spark, monkeypatch):
     assert made[0].count() == len(links(distinct)[1]) < len(links(copies)[1]) / 3
 
 
+def test_sample_of_copies_is_that_of_all_pairs(spark):
+    """Copies are counted by class, pairs of one time and agency have the order of their ids, and hashes decide."""
+    rng = random.Random(8)
+    reports = [(k, t, la, lo, m, s) for k, t, la, lo, m, s in random_catalog(13, 30)]
+    reports += [(f"m{k}", t, la, lo, m + 0.5, s) for k, t, la, lo, m, s in reports[:10]]  # the same time and agency
+    copies = [(f"{rng.randrange(10**6)}x{e[0]}{c}", *e[1:]) for e in reports for c in range(rng.choice((1, 2, 12)))]
+    df = spark.createDataFrame([*copies, ("none", 3.0, None, 30.0, 4.0, "usgs")], SCHEMA)
+    strata = collections.defaultdict(list)
+    for r in review.review_pairs(df).collect():
+        a, b = r.source_event_id_a, r.source_event_id_b
+        strata[r.stratum].append((hashlib.md5(f"20261025|{a}|{b}".encode()).hexdigest(), a, b))
+    want = {(k, a, b, len(v), min(7, len(v))) for k, v in strata.items() for _, a, b in sorted(v)[:7]}
+    got = [tuple(r)[:5] for r in review.sampled_pairs(df, 7).select("stratum", "a", "b", "stratum_population", "stratum_sample_size").collect()]
+    assert set(got) == want and len(got) == len(want) and max(map(len, strata.values())) > 300
+    classes = review.review_classes(df)
+    assert classes.agg(F.sum("n")).first()[0] == sum(map(len, strata.values())) > 5 * classes.count()
+
+
+def test_sample_of_rows_whose_ids_repeat(spark):
+    """All rows of a stratum share a hash that is beyond the share looked at first."""
+    high = next(str(i) for i in range(999) if hashlib.md5(f"20261025|{i}".encode()).hexdigest() > "f")
+    df = spark.createDataFrame([("one", high)] * 3000 + [("two", str(i)) for i in range(3000)], "k string, id string")
+    got = review.stratified_sample(df, "k", ["id"], 5).collect()
+    assert sorted((r.k, r.id) for r in got if r.k == "one") == [("one", high)] * 5 and {r.review_weight for r in got} == {600.0}
+    assert {r.id for r in got if r.k == "two"} == set(sorted(map(str, range(3000)), key=lambda i: hashlib.md5(f"20261025|{i}".encode()).hexdigest())[:5])
+
+
 def test_quality_of_large_clusters(spark):
     """Against all pairs; positions on a circle and inside it, missing values, and differences at the middle of two roundings."""
     rng = random.Random(5)
