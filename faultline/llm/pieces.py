@@ -34,15 +34,27 @@ from faultline.llm.textvec import _powers, buffers, mix64
 
 _U64 = np.uint64
 #: Distinct parts that a sampler keeps, and edges (16 bytes each).
-CACHE, EDGES = 120_000, 4_000_000
+CACHE, EDGES = 120_000, 2_000_000
 #: Parts of one forward pass.
-PASS = 12_000
+PASS = 6_000
 #: Log-probability of a character as bytes.
 BYTE_SCORE = -20.0
+#: Low bits of a hash that choose its mark, high ones that choose where to look for it.
+MARKS, BUCKET = 18, 13
+LOW = _U64((1 << MARKS) - 1)
 #: Bits of a probability; a state's number stands above them.
 BITS = 40
 
 
+def _order(values: np.ndarray) -> np.ndarray:
+    """Stable order of whole numbers from 0, by 16 bits at a time: numpy has a radix sort for those."""
+    order, top = None, int(values.max(initial=0))
+    for shift in range(0, max(top.bit_length(), 1), 16):
+        digit = (values >> shift).astype(np.uint16)
+        order = np.argsort(digit, kind="stable") if order is None else order[np.argsort(digit[order], kind="stable")]
+    return order
+
+
 class Sampler:
     """Encoder and decoder for one model; ``theta`` 1 samples the posterior, more comes nearer the best segmentation."""
 
@@ -74,17 +86,18 @@ class Sampler:
         total = math.log(sum(1 / (r + 2) for r in range(len(normal))))
         self.piece = {p: (i, theta * (-math.log(rank + 2) - total)) for rank, (_, i, p) in enumerate(sorted(normal))}
         self.longest = max(map(len, self.piece))
-        #: By length in characters: sorted hashes, ids and scores of pieces, and a bitmap of the hashes' low bits.
+        #: By length in characters: sorted hashes (and where each bucket of them begins), ids and scores of pieces, and a map of the hashes' low bits: 1 where a piece is, 2 where a longer piece begins so.
         self.tables = {}
         for length in range(1, self.longest + 1):
             some = [(p, *v) for p, v in self.piece.items() if len(p) == length]
-            if some:
-                chars = np.frombuffer("".join(x[0] for x in some).encode("utf-32-le"), np.uint32)
-                h = self._hashes(self._sums(chars), np.arange(len(some)) * length, length)
-                order = np.argsort(h)
-                bitmap = np.zeros(1 << 16, dtype=bool)
-                bitmap[(h & _U64(0xFFFF)).astype(np.int64)] = True
-                self.tables[length] = h[order], np.array([x[1] for x in some], np.int32)[order], np.array([x[2] for x in some])[order], bitmap
+            marks = np.zeros(1 << MARKS, np.uint8)
+            h = self._of([x[0] for x in some], length)
+            marks[(h & LOW).astype(np.int64)] = 1
+            marks[(self._of(sorted({p[:length] for p in self.piece if len(p) > length}), length) & LOW).astype(np.int64)] |= 2
+            order = np.argsort(h)
+            known = np.append(h[order], _U64(2**64 - 1))  # an end to every search
+            first = np.searchsorted(known, np.arange(1 << BUCKET, dtype=_U64) << _U64(64 - BUCKET))
+            self.tables[length] = known, first, np.array([x[1] for x in some], np.int32)[order], np.array([x[2] for x in some], float)[order], marks
         size = np.fromiter(map(len, self.raw), np.int64, n)
         self.raw_size, self.raw_start = size, np.cumsum(size) - size
         self.raw_pool = np.frombuffer(b"".join(self.raw), np.uint8)
@@ -92,11 +105,12 @@ class Sampler:
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
-        #: First and last state of each part; by edge, in the order of the states where they end: state
-        #: and cumulative probability, state before, and the piece (a character's bytes: minus its code point, minus 1).
-        self._first, self._last = np.zeros(1 << 12, np.int32), np.zeros(1 << 12, np.int32)
-        self._cum, self._before, self._id = np.zeros(1 << 16, _U64), np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
-        self.parts = self.edges = self.states = 0
+        #: Last edge of each part; by edge, in the order of the states where they end: probability of the edges
+        #: of its state before it, last edge of the state that it comes from (-1: the part's first), and the
+        #: piece (a character's bytes: minus its code point, minus 1).
+        self._last = np.zeros(1 << 12, np.int32)
+        self._low, self._before, self._id = np.zeros(1 << 16, _U64), np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
+        self.parts = self.edges = 0
 
     def _append(self, names: tuple[str, ...], used: int, values: tuple[np.ndarray, ...]) -> int:
         """Write values behind the used places of equally long arrays, which double when they are full."""
@@ -119,6 +133,10 @@ class Sampler:
     def _hashes(sums: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
         return mix64((sums[start + length] - sums[start]) * _powers(len(sums))[1][start])
 
+    def _of(self, pieces: list[str], length: int) -> np.ndarray:
+        """Hashes of pieces of one length."""
+        return self._hashes(self._sums(np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32)), np.arange(len(pieces)) * length, length)
+
     def _forward(self, parts: list[str]) -> None:
         """Add parts: posterior probabilities of the edges into each state, from the forward sums."""
         chars = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)
@@ -130,14 +148,21 @@ class Sampler:
         sums = self._sums(seen)
         start, length, ids, score = [], [], [], []
         bare = np.ones(len(chars), dtype=bool)
-        for n, (known, piece, value, bitmap) in self.tables.items():
-            at = np.flatnonzero(left >= n)
-            h = self._hashes(sums, at, n)
-            some = np.flatnonzero(bitmap[(h & _U64(0xFFFF)).astype(np.int64)])
-            place = np.searchsorted(known, h[some])
-            place[place == len(known)] = 0
-            same = known[place] == h[some]
-            at, place = at[some[same]], place[same]
+        on = np.arange(len(chars))  # where a piece of this length or more may begin
+        for n, (known, first, piece, value, marks) in self.tables.items():
+            h = self._hashes(sums, on, n)
+            mark = marks[(h & LOW).astype(np.int64)]
+            some = np.flatnonzero(mark & 1)
+            h = h[some]
+            place = first[(h >> _U64(64 - BUCKET)).astype(np.int64)]
+            less = np.flatnonzero(known[place] < h)
+            while len(less):  # few: a bucket has about one hash
+                place[less] += 1
+                less = less[known[place[less]] < h[less]]
+            same = known[place] == h
+            at, place = on[some[same]], place[same]
+            on = on[mark > 1]
+            on = on[left[on] > n]
             if n == 1:
                 bare[at] = False
             start.append(at)
@@ -152,10 +177,10 @@ class Sampler:
         start, length, ids, score = (np.concatenate(x) for x in (start, length, ids, score))
         before = start + part[start]  # a part has one state more than characters
         state = before + length
-        order = np.argsort(state, kind="stable")
+        order = _order(state)
         before, state, ids, score = before[order], state[order], ids[order].astype(np.int32), score[order]
         step = state - (begin + np.arange(len(parts)))[part[start[order]]]
-        by_step = np.argsort(step, kind="stable")
+        by_step = _order(step)
         bounds = np.searchsorted(step[by_step], np.arange(1, int(size.max()) + 2))
         alpha = np.zeros(len(chars) + len(parts))
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -167,14 +192,12 @@ class Sampler:
             alpha[s[new]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, np.diff(np.append(new, len(e))))), new))
         whole = np.floor(np.exp(alpha[before] + score - alpha[state]) * (1 << BITS)).astype(_U64)
         new = np.flatnonzero(np.concatenate([[True], state[1:] != state[:-1]]))
-        run = np.cumsum(whole, dtype=_U64)  # whole numbers: what other states add goes away exactly
-        cum = np.minimum(run - np.repeat((run - whole)[new], np.diff(np.append(new, len(state)))), _U64(1 << BITS))
-        cum[np.append(new[1:], len(state)) - 1] = 1 << BITS
-        shift = self.states
-        self.edges = self._append(("_cum", "_before", "_id"), self.edges, ((state + shift).astype(_U64) * _U64(1 << BITS) + cum, before + shift, ids))
-        first = begin + np.arange(len(parts)) + shift
-        self.parts = self._append(("_first", "_last"), self.parts, (first, first + size))
-        self.states += len(alpha)
+        run = np.cumsum(whole, dtype=_U64) - whole  # whole numbers: what other states add goes away exactly
+        low = np.minimum(run - np.repeat(run[new], np.diff(np.append(new, len(state)))), _U64(1 << BITS))
+        ending = np.full(len(alpha), -1, np.int32)
+        ending[state[new]] = np.append(new[1:], len(state)) - 1 + self.edges
+        self.edges = self._append(("_low", "_before", "_id"), self.edges, (low, ending[before], ids))
+        self.parts = self._append(("_last",), self.parts, (ending[begin + np.arange(len(parts)) + size],))
 
     def _expanded(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of edges, one after the other, and how many each has."""
@@ -193,6 +216,7 @@ class Sampler:
             self._clear()
         new = [p for p in parts if p not in self.known]
         if new:
+            new.sort(key=len)  # few passes have many steps
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
             for i in range(0, len(new), PASS):
                 self._forward(new[i : i + PASS])
@@ -212,28 +236,30 @@ class Sampler:
         cut[off[:-1][off[:-1] < len(data)]] = True
         start = np.flatnonzero(cut)
         parts = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(np.append(start, len(data)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))).dictionary_encode()
-        code = self._codes(parts.dictionary.to_pylist())[parts.indices.to_numpy()]
+        code = self._codes(parts.dictionary.to_numpy(zero_copy_only=False).tolist())[parts.indices.to_numpy()]
         row = np.searchsorted(off, start, side="right") - 1
         nth = np.arange(len(start)) - np.searchsorted(row, row)
         base = mix64(mix64(keys.astype(np.int64).view(_U64) + _U64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1))[row] + nth.astype(_U64) * _U64(0xD1342543DE82EF95))
-        cum, before = self._cum[: self.edges], self._before
-        who, state, stop = np.arange(len(start)), self._last[code].astype(np.int64), self._first[code]
+        low, before = self._low, self._before
+        who = _order(code)  # neighbours read the same edges
+        at = self._last[code[who]]
+        base = base[who]
+        count = np.zeros(len(start), np.int64)
         chosen, owner = [], []
-        step = 0
         while len(who):
-            u = mix64(base[who] + _U64(step + 1)) >> _U64(64 - BITS)
-            edge = np.searchsorted(cum, state.astype(_U64) * _U64(1 << BITS) + u, side="right")
-            chosen.append(edge)
+            u = mix64(base + _U64(len(chosen) + 1)) >> _U64(64 - BITS)
+            left = np.flatnonzero(low[at] > u)
+            while len(left):  # the last edge of the state that begins at most at u
+                at[left] -= 1
+                left = left[low[at[left]] > u[left]]
+            chosen.append(at)
             owner.append(who)
-            state = before[edge].astype(np.int64)
-            on = state > stop
-            who, state, stop = who[on], state[on], stop[on]
-            step += 1
-        count = np.zeros(len(start), np.int64)
-        for w in owner:
-            count[w] += 1
+            at = before[at]
+            on = at >= 0
+            count[who[~on]] = len(chosen)
+            who, at, base = who[on], at[on], base[on]
         ends = np.cumsum(count)
-        edges = np.empty(int(ends[-1]), np.int64)
+        edges = np.empty(int(ends[-1]), np.int32)
         for t, (e, w) in enumerate(zip(chosen, owner, strict=True)):
             edges[ends[w] - 1 - t] = e
         ids, size = self._expanded(edges)
@@ -271,7 +297,7 @@ def encode(documents: DataFrame, model: str, key: str = "doc_id", text: str = "t
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = sampler(model, theta)
-        for batch in slices(batches, "__text", 1 << 20):
+        for batch in slices(batches, "__text", 1 << 19):
             texts = batch.column("__text")
             got, count = s.encode(texts, batch.column("__key").fill_null(0).to_numpy(zero_copy_only=False), seed)
             back, ends = s.decode(got, count)
