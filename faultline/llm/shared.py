@@ -51,7 +51,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``most`` bytes of text (a longer text is a slice of its own)."""
     import numpy as np
 
@@ -84,6 +84,9 @@ def release() -> None:
     import ctypes
     import gc
 
+    from faultline.llm import textvec
+
+    textvec.forget()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

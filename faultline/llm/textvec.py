@@ -63,6 +63,12 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
+def forget() -> None:
+    """Drop long tables of powers, which an idle worker would keep; they are soon made again."""
+    if _POWERS and len(_POWERS[0]) > 1 << 16:
+        _POWERS[:] = []
+
+
 class Words:
     """Words of a slice of texts: ``doc`` (row), ``start`` and ``end`` (bytes of ``data``), ``hash``; ``first`` has each row's first word."""
 

@@ -41,3 +41,18 @@ def test_drawn_edges_are_those_of_a_search_of_all_probabilities(sampler):
 def test_order(top):
     values = np.random.default_rng(top).integers(0, top + 1, 5000)
     assert (pieces._order(values) == np.argsort(values, kind="stable")).all()
+
+
+def test_tasks_leave_no_long_tables_in_their_worker():
+    from faultline.llm import textvec
+    from faultline.llm.shared import slices, tidy
+
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([f"{i} some words " * 500 for i in range(300)])})
+
+    def run(batches):
+        for b in slices(batches, "text"):
+            assert len(textvec.Words(b.column("text")).data) <= 1 << 19
+            yield b
+
+    assert sum(b.num_rows for b in tidy(run)([batch])) == 300
+    assert not textvec._POWERS or len(textvec._POWERS[0]) <= 1 << 16
