@@ -56,3 +56,17 @@ def test_tasks_leave_no_long_tables_in_their_worker():
 
     assert sum(b.num_rows for b in tidy(run)([batch])) == 300
     assert not textvec._POWERS or len(textvec._POWERS[0]) <= 1 << 16
+
+
+def test_ids_are_parted_by_stretches_as_at_once(monkeypatch):
+    from faultline.llm import wavelet
+
+    rng = np.random.default_rng(2)
+    for n, stretch in ((0, 8), (1, 8), (1000, 8), (1000, 1000), (1000, 4096)):
+        monkeypatch.setattr(wavelet, "STRETCH", stretch)
+        a, b = rng.integers(0, 1 << 10, n).astype(np.uint16), rng.random(n) < 0.3
+        got = wavelet.apart(a, b)
+        assert (got == np.concatenate([a[~b], a[b]])).all()
+        assert (wavelet.together(got, b, 1 << 12) == a + b * np.uint16(1 << 12)).all()
+        file = wavelet.pack(a, np.arange(1), np.array([n]), np.ones(1, bool))
+        assert (wavelet.Shard(file).all() == a).all()
