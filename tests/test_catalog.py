@@ -145,6 +145,23 @@ def test_copies_of_reports_make_no_pairs(spark, monkeypatch):
     assert made[0].count() == len(links(distinct)[1]) < len(links(copies)[1]) / 3
 
 
+def test_copies_of_all_agencies_are_settled_before_pairs(spark, monkeypatch):
+    """No pairs are made of what is in a whole cluster; an agency's surplus, near copies and incomplete spots still meet."""
+    rng = random.Random(13)
+    events = [(k, 5000 + t + rng.random() * 0.01, la + rng.random() * 0.01, lo, m) for k, t, la, lo, m, _ in random_catalog(14, 20)]
+    agencies = ("usgs", "isc", "emsc")
+    copies = [(f"{e[0]}-{c}", *e[1:], agencies[c % 3]) for e in events for c in range(6)]
+    surplus = [(f"{e[0]}-{c}", *e[1:], agency) for e in events[::4] for c, agency in (("x", "isc"), ("y", "emsc"), ("z", "isc"))]
+    t, la, lo, m = events[1][1:]
+    near = [(f"near{c}", t, la, lo, math.nextafter(m, 9), agency) for c, agency in enumerate(agencies)]
+    df, store, kept = spark.createDataFrame(copies, SCHEMA), dedup.stored, []
+    monkeypatch.setattr(dedup, "stored", lambda x: kept.append(store(x)) or kept[-1])
+    assert members(dedup.clusters(df)) == brute_clusters(copies)
+    assert [x.count() for x in kept if "score" in x.columns] == [0] and len(links(copies)[1]) > 200
+    for more in (copies + surplus, copies + near, [e for e in copies if e[0] != "r003-4"]):
+        assert members(dedup.clusters(spark.createDataFrame(more, SCHEMA).repartition(3))) == brute_clusters(more)
+
+
 def test_sample_of_copies_is_that_of_all_pairs(spark):
     """Copies are counted by class, pairs of one time and agency have the order of their ids, and hashes decide."""
     rng = random.Random(8)
